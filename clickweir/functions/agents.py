@@ -32,7 +32,7 @@ class SystemRule:
 BROWSERS = [
     BrowserRule("Edg", "Edge", r"Edg(?:e|A|iOS)?/([\d.]+)"),
     BrowserRule("OPR/", "Opera", r"OPR/([\d.]+)"),
-    BrowserRule("Opera", "Opera", r"(?:Version/|Opera[/ ])([\d.]+)$|Opera[/ ]([\d.]+)"),
+    BrowserRule("Opera", "Opera", r"(?:Version/|^(?!.*Version/).*Opera[/ ])([\d.]+)"),
     BrowserRule("Firefox/", "Firefox", r"Firefox/([\d.]+)"),
     BrowserRule("CriOS/", "Chrome", r"CriOS/([\d.]+)"),
     BrowserRule("Chrome/", "Chrome", r"Chrome/([\d.]+)"),
@@ -57,37 +57,39 @@ SYSTEMS = [
 ]
 
 
-def _first_match(agent: Column, rules: list, value) -> Column:
+def _first_match(agent: Column, rules: list, value, otherwise: Column) -> Column:
     chain = F.when(agent.contains(rules[0].token), value(rules[0]))
     for rule in rules[1:]:
         chain = chain.when(agent.contains(rule.token), value(rule))
-    return chain
+    return F.when(not_blank(agent), chain.otherwise(otherwise))
 
 
-def agent_info(
-    agent: Column,
-    browsers: list[BrowserRule] = BROWSERS,
-    systems: list[SystemRule] = SYSTEMS,
-) -> dict[str, Column]:
-    """Columns browser, browser_v, os, os_v; all null when the agent is blank."""
+def browser_of(agent: Column, rules: list[BrowserRule] = BROWSERS) -> Column:
+    """Struct (browser, browser_v), null when the agent is blank."""
 
-    def version(rule: BrowserRule) -> Column:
-        return blank_to_null(F.regexp_extract(agent, rule.version, 1))
+    def found(rule: BrowserRule) -> Column:
+        version = F.regexp_extract(agent, rule.version, 1)
+        return F.struct(
+            F.lit(rule.family).alias("browser"), blank_to_null(version).alias("browser_v")
+        )
 
-    def system_name(rule: SystemRule) -> Column:
+    unknown = F.struct(
+        F.lit(UNKNOWN).alias("browser"), F.lit(None).cast("string").alias("browser_v")
+    )
+    return _first_match(agent, rules, found, unknown)
+
+
+def system_of(agent: Column, rules: list[SystemRule] = SYSTEMS) -> Column:
+    """Struct (os, os_v), null when the agent is blank."""
+
+    def name(rule: SystemRule) -> Column:
         if rule.version is None:
             return F.lit(rule.name)
-        found = F.translate(F.regexp_extract(agent, rule.version, 1), "_", ".")
-        return F.trim(F.concat(F.lit(rule.name + " "), found))
-
-    present = not_blank(agent)
+        version = F.translate(F.regexp_extract(agent, rule.version, 1), "_", ".")
+        return F.trim(F.concat(F.lit(rule.name + " "), version))
 
-    def named(c: Column) -> Column:
-        return F.when(present, F.coalesce(c, F.lit(UNKNOWN)))
+    def found(rule: SystemRule) -> Column:
+        return F.struct(F.lit(rule.family).alias("os"), name(rule).alias("os_v"))
 
-    return {
-        "browser": named(_first_match(agent, browsers, lambda r: F.lit(r.family))),
-        "browser_v": F.when(present, _first_match(agent, browsers, version)),
-        "os": named(_first_match(agent, systems, lambda r: F.lit(r.family))),
-        "os_v": named(_first_match(agent, systems, system_name)),
-    }
+    unknown = F.struct(F.lit(UNKNOWN).alias("os"), F.lit(UNKNOWN).alias("os_v"))
+    return _first_match(agent, rules, found, unknown)

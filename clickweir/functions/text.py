@@ -31,6 +31,12 @@ def crc32_of(*parts: Column) -> Column:
     return F.crc32(F.concat_ws("", *parts).cast("binary"))
 
 
+def url_decoded(c: Column) -> Column:
+    """URL-decoded UTF-8 text, null when malformed; plain text is passed through."""
+    encoded = c.contains("%") | c.contains("+")
+    return F.when(encoded, F.try_url_decode(c)).otherwise(c)
+
+
 def drop_trailing(c: Column, literal: str) -> Column:
     """Remove every trailing repetition of ``literal``."""
     pattern = "(?:" + "".join("\\" + ch if not ch.isalnum() else ch for ch in literal) + ")+$"

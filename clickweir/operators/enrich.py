@@ -70,16 +70,25 @@ def enrich_ip(
     return joined.withColumns(filled).drop("_region", "geo_country", "geo_area")
 
 
-def enrich_user_agent(df: DataFrame, agent: str = "b_iev", **rules) -> DataFrame:
+def enrich_user_agent(
+    df: DataFrame,
+    agent: str = "b_iev",
+    browsers: list[agents.BrowserRule] = agents.BROWSERS,
+    systems: list[agents.SystemRule] = agents.SYSTEMS,
+) -> DataFrame:
     """Fill browser, browser_v, os and os_v from the user agent.
 
     Plain expressions on every row: no shuffle, whatever the skew of agents.
     """
+    matched = df.withColumns({
+        "_browser": agents.browser_of(F.col(agent), browsers),
+        "_system": agents.system_of(F.col(agent), systems),
+    })
     filled = {}
-    for name, value in agents.agent_info(F.col(agent), **rules).items():
-        own = F.col(name) if name in df.columns else F.lit(None).cast("string")
-        filled[name] = F.coalesce(value, own)
-    return df.withColumns(filled)
+    for name in ("browser", "browser_v", "os", "os_v"):
+        value = F.col("_browser" if name.startswith("browser") else "_system")[name]
+        filled[name] = F.coalesce(value, F.col(name)) if name in df.columns else value
+    return matched.withColumns(filled).drop("_browser", "_system")
 
 
 def search_ip_ranges(ip_ranges: DataFrame, text: str) -> DataFrame:

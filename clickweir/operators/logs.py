@@ -7,10 +7,23 @@ from pyspark.sql import functions as F
 
 from clickweir import schemas
 from clickweir.functions.dates import server_time_millis
-from clickweir.functions.text import blank_to_null, crc32_of, drop_trailing, not_blank
+from clickweir.functions.text import blank_to_null, crc32_of, drop_trailing, url_decoded
 
 _CELL_TYPE = "array<struct<column:string,value:string>>"
 
+_HAS_VALUE = r"=[^=]"
+# A broken escape inside the value, that is between the first and second '='.
+_MALFORMED = r"^[^=]*=[^=]*%(?![0-9A-Fa-f]{2})"
+
+
+def computed_once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a costly column that later filters and projections read back.
+
+    Catalyst pushes a filter below a projection by repeating its expressions, but
+    never below a generator, so a one-element array keeps the work single.
+    """
+    return df.select("*", F.explode(F.array(column)).alias(name))
+
 
 def _line_parts(line: Column) -> Column:
     # Trailing empty fields do not count as fields.
@@ -18,8 +31,8 @@ def _line_parts(line: Column) -> Column:
 
 
 def is_log_line(line: Column) -> Column:
-    """True when the line has exactly the four log fields."""
-    return not_blank(line) & (F.size(_line_parts(line)) == 4)
+    """True when the line has exactly the four log fields (a blank line has one)."""
+    return F.coalesce(F.size(_line_parts(line)) == 4, F.lit(False))
 
 
 def split_log_line(df: DataFrame, line: str = "value") -> DataFrame:
@@ -28,71 +41,84 @@ def split_log_line(df: DataFrame, line: str = "value") -> DataFrame:
     Lines without exactly four fields give no row.
     """
     passthrough = [c for c in df.columns if c != line]
-    return (
-        df.where(not_blank(F.col(line)))
-        .select(*passthrough, _line_parts(F.col(line)).alias("_parts"))
-        .where(F.size("_parts") == 4)
-        .select(
-            *passthrough,
-            *[F.get("_parts", F.lit(i)).alias(name)
-              for i, name in enumerate([*schemas.HEADER_COLUMNS, "uri"])],
-        )
+    parts = computed_once(df, "_parts", _line_parts(F.col(line))).where(F.size("_parts") == 4)
+    return parts.select(
+        *passthrough,
+        *[F.get("_parts", F.lit(i)).alias(name)
+          for i, name in enumerate([*schemas.HEADER_COLUMNS, "uri"])],
     )
 
 
-def parse_uri_params(uri: Column) -> Column:
-    """Query-string parameters as a map with URL-decoded values.
+def raw_uri_params(uri: Column) -> Column:
+    """Query-string parameters as a map of still encoded values.
 
     Only a URI with exactly one ``?`` has parameters. Text after a second ``=``
     is ignored, a repeated key keeps its last value, and a pair without a value
     or with a malformed escape is left out.
     """
     halves = F.split(drop_trailing(uri, "?"), r"\?")
-    query = F.when(F.size(halves) == 2, F.get(halves, F.lit(1)))
-    # A pair has a value when some text follows one of its '='.
-    pairs = F.filter(F.split(query, "&"), lambda p: p.rlike("=[^=]"))
-    decoded = F.transform(
+    query = F.when(F.size(halves) == 2, F.get(halves, F.lit(1))).otherwise("")
+    pairs = F.filter(
+        F.split(query, "&"),
+        lambda p: p.rlike(_HAS_VALUE) & ~(p.contains("%") & p.rlike(_MALFORMED)),
+    )
+    return F.map_from_entries(F.transform(
         pairs,
         lambda p: F.struct(
             F.substring_index(p, "=", 1).alias("key"),
-            F.try_url_decode(F.get(F.split(p, "="), F.lit(1))).alias("value"),
+            F.substring_index(F.substring_index(p, "=", 2), "=", -1).alias("value"),
         ),
-    )
-    entries = F.filter(decoded, lambda e: e["value"].isNotNull())
-    return F.map_from_entries(F.coalesce(entries, F.array().cast("array<struct<key:string,value:string>>")))
+    ))
+
+
+def parse_uri_params(uri: Column) -> Column:
+    """Query-string parameters as a map with URL-decoded values."""
+    return F.transform_values(raw_uri_params(uri), lambda _, v: url_decoded(v))
 
 
 def parse_event(df: DataFrame) -> DataFrame:
-    """Add ``attrs``, the map of header fields and parameters of each line.
+    """Add ``params``, the still encoded parameters of each line's URI."""
+    return computed_once(df, "params", raw_uri_params(F.col("uri")))
+
+
+def param(name: str) -> Column:
+    """One decoded parameter of ``parse_event``'s rows, null when absent."""
+    return url_decoded(F.col("params")[name])
+
+
+def event_attributes(df: DataFrame) -> DataFrame:
+    """Add ``attrs``, the whole event as one map: header fields and decoded parameters.
 
     A parameter named like a header field replaces it.
     """
     header = F.create_map(*[
         x for name in schemas.HEADER_COLUMNS for x in (F.lit(name), F.col(name))
     ])
-    return df.withColumn("attrs", F.map_concat(header, parse_uri_params(F.col("uri"))))
+    decoded = F.transform_values("params", lambda _, v: url_decoded(v))
+    return df.withColumn("attrs", F.map_concat(header, decoded))
 
 
 def filter_known_events(df: DataFrame) -> DataFrame:
-    """Keep rows whose ``attrs`` names one of the known events."""
-    return df.where(F.col("attrs")["en"].isin(list(schemas.EVENTS)))
+    """Keep parsed lines whose ``en`` parameter names one of the known events."""
+    return df.where(param("en").isin(list(schemas.EVENTS)))
 
 
 def project_event(df: DataFrame) -> DataFrame:
-    """Known columns out of ``attrs``; what is left over stays in ``attrs``.
+    """Known columns out of a parsed line; the other parameters stay in ``attrs``.
 
-    ``client_ip`` keeps the line's own address for the region lookup, since an
-    ``ip`` parameter may have replaced it in the event.
+    A parameter named like a header field replaces it in the event; ``client_ip``
+    keeps the line's own address for the region lookup.
     """
-    derived = {"attrs", "uri", *schemas.HEADER_COLUMNS}
-    passthrough = [c for c in df.columns if c not in derived]
-    attrs = F.col("attrs")
+    passthrough = [c for c in df.columns
+                   if c not in {"params", "uri", *schemas.HEADER_COLUMNS}]
     known = schemas.EVENT_COLUMNS
+    rest = F.map_filter("params", lambda k, _: ~k.isin(known))
     return df.select(
         *passthrough,
         F.col("ip").alias("client_ip"),
-        *[attrs[name].alias(name) for name in known],
-        F.map_filter(attrs, lambda k, v: ~k.isin(known)).alias("attrs"),
+        *[F.coalesce(param(c), F.col(c)).alias(c) for c in schemas.HEADER_COLUMNS],
+        *[param(c).alias(c) for c in known if c not in schemas.HEADER_COLUMNS],
+        F.transform_values(rest, lambda _, v: url_decoded(v)).alias("attrs"),
     )
 
 

@@ -24,16 +24,12 @@ def with_metrics(df: DataFrame, name: str, **extra: Column) -> tuple[DataFrame,
 
 def log_metrics(lines: DataFrame, line: str = "value") -> DataFrame:
     """Loaded, parsed, known and rejected line counts in one pass."""
-    parsed = is_log_line(F.col(line))
-    uri = F.element_at(F.split(F.col(line), r"\^A"), 4)
-    counted = lines.select(
-        parsed.alias("parsed"),
-        F.when(parsed, parse_uri_params(uri)["en"]).alias("en"),
-    )
-    return counted.agg(
+    uri = F.get(F.split(F.col(line), r"\^A"), F.lit(3))
+    en = F.when(F.col("parsed"), parse_uri_params(uri)["en"])
+    return lines.withColumn("parsed", is_log_line(F.col(line))).agg(
         F.count(F.lit(1)).alias("loaded"),
         F.count_if("parsed").alias("parsed"),
-        F.count_if(F.col("en").isin(list(schemas.EVENTS))).alias("known"),
+        F.count_if(en.isin(list(schemas.EVENTS))).alias("known"),
         F.count_if(~F.col("parsed")).alias("rejected"),
     )
 
@@ -54,6 +50,15 @@ def shrink_partitions(df: DataFrame, max_rows: int = SMALL_RESULT_ROWS) -> DataF
     return df
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work on an input that comes in fewer pieces.
+
+    An input with at least a piece per core is left where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @contextmanager
 def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """Keep an intermediate that several outputs read, and release it afterwards."""

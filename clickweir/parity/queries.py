@@ -38,8 +38,12 @@ def registered(fn: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shaping.spread_small_input(table(spark, sf_dir, "events"))
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.log_lines(table(spark, sf_dir, "events"))
+    return fixtures.log_lines(_events(spark, sf_dir))
 
 
 def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +75,7 @@ def log_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def log_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shaping.log_metrics(fixtures.dirty_log_lines(table(spark, sf_dir, "events")))
+    return shaping.log_metrics(fixtures.dirty_log_lines(_events(spark, sf_dir)))
 
 
 @registered
