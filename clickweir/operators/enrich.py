@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickweir.functions import agents, geo, network
 from clickweir.functions.text import blank_to_null, not_blank
 from clickweir.operators import joins
+from clickweir.operators.columns import computed_once
 
 
 def ip_range_join(
@@ -80,10 +81,8 @@ def enrich_user_agent(
 
     Plain expressions on every row: no shuffle, whatever the skew of agents.
     """
-    matched = df.withColumns({
-        "_browser": agents.browser_of(F.col(agent), browsers),
-        "_system": agents.system_of(F.col(agent), systems),
-    })
+    matched = computed_once(df, "_browser", agents.browser_of(F.col(agent), browsers))
+    matched = computed_once(matched, "_system", agents.system_of(F.col(agent), systems))
     filled = {}
     for name in ("browser", "browser_v", "os", "os_v"):
         value = F.col("_browser" if name.startswith("browser") else "_system")[name]

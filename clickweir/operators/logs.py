@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickweir import schemas
 from clickweir.functions.dates import server_time_millis
 from clickweir.functions.text import blank_to_null, crc32_of, drop_trailing, url_decoded
+from clickweir.operators.columns import computed_once
 
 _CELL_TYPE = "array<struct<column:string,value:string>>"
 
@@ -16,15 +17,6 @@ _HAS_VALUE = r"=[^=]"
 _MALFORMED = r"^[^=]*=[^=]*%(?![0-9A-Fa-f]{2})"
 
 
-def computed_once(df: DataFrame, name: str, column: Column) -> DataFrame:
-    """Add a costly column that later filters and projections read back.
-
-    Catalyst pushes a filter below a projection by repeating its expressions, but
-    never below a generator, so a one-element array keeps the work single.
-    """
-    return df.select("*", F.explode(F.array(column)).alias(name))
-
-
 def _line_parts(line: Column) -> Column:
     # Trailing empty fields do not count as fields.
     return F.split(drop_trailing(line, schemas.LOG_SEPARATOR), r"\^A")
@@ -49,8 +41,8 @@ def split_log_line(df: DataFrame, line: str = "value") -> DataFrame:
     )
 
 
-def raw_uri_params(uri: Column) -> Column:
-    """Query-string parameters as a map of still encoded values.
+def parse_uri_params(uri: Column) -> Column:
+    """Query-string parameters as a map with URL-decoded values.
 
     Only a URI with exactly one ``?`` has parameters. Text after a second ``=``
     is ignored, a repeated key keeps its last value, and a pair without a value
@@ -62,45 +54,35 @@ def raw_uri_params(uri: Column) -> Column:
         F.split(query, "&"),
         lambda p: p.rlike(_HAS_VALUE) & ~(p.contains("%") & p.rlike(_MALFORMED)),
     )
-    return F.map_from_entries(F.transform(
+    encoded = F.map_from_entries(F.transform(
         pairs,
         lambda p: F.struct(
             F.substring_index(p, "=", 1).alias("key"),
             F.substring_index(F.substring_index(p, "=", 2), "=", -1).alias("value"),
         ),
     ))
-
-
-def parse_uri_params(uri: Column) -> Column:
-    """Query-string parameters as a map with URL-decoded values."""
-    return F.transform_values(raw_uri_params(uri), lambda _, v: url_decoded(v))
+    return F.transform_values(encoded, lambda _, v: url_decoded(v))
 
 
 def parse_event(df: DataFrame) -> DataFrame:
-    """Add ``params``, the still encoded parameters of each line's URI."""
-    return computed_once(df, "params", raw_uri_params(F.col("uri")))
-
-
-def param(name: str) -> Column:
-    """One decoded parameter of ``parse_event``'s rows, null when absent."""
-    return url_decoded(F.col("params")[name])
+    """Add ``params``, the parameters of each line's URI."""
+    return computed_once(df, "params", parse_uri_params(F.col("uri")))
 
 
 def event_attributes(df: DataFrame) -> DataFrame:
-    """Add ``attrs``, the whole event as one map: header fields and decoded parameters.
+    """Add ``attrs``, a parsed line as one map: header fields and parameters.
 
     A parameter named like a header field replaces it.
     """
     header = F.create_map(*[
         x for name in schemas.HEADER_COLUMNS for x in (F.lit(name), F.col(name))
     ])
-    decoded = F.transform_values("params", lambda _, v: url_decoded(v))
-    return df.withColumn("attrs", F.map_concat(header, decoded))
+    return df.withColumn("attrs", F.map_concat(header, F.col("params")))
 
 
 def filter_known_events(df: DataFrame) -> DataFrame:
     """Keep parsed lines whose ``en`` parameter names one of the known events."""
-    return df.where(param("en").isin(list(schemas.EVENTS)))
+    return df.where(F.col("params")["en"].isin(list(schemas.EVENTS)))
 
 
 def project_event(df: DataFrame) -> DataFrame:
@@ -111,14 +93,13 @@ def project_event(df: DataFrame) -> DataFrame:
     """
     passthrough = [c for c in df.columns
                    if c not in {"params", "uri", *schemas.HEADER_COLUMNS}]
-    known = schemas.EVENT_COLUMNS
-    rest = F.map_filter("params", lambda k, _: ~k.isin(known))
+    known, params = schemas.EVENT_COLUMNS, F.col("params")
     return df.select(
         *passthrough,
         F.col("ip").alias("client_ip"),
-        *[F.coalesce(param(c), F.col(c)).alias(c) for c in schemas.HEADER_COLUMNS],
-        *[param(c).alias(c) for c in known if c not in schemas.HEADER_COLUMNS],
-        F.transform_values(rest, lambda _, v: url_decoded(v)).alias("attrs"),
+        *[F.coalesce(params[c], F.col(c)).alias(c) for c in schemas.HEADER_COLUMNS],
+        *[params[c].alias(c) for c in known if c not in schemas.HEADER_COLUMNS],
+        F.map_filter(params, lambda k, _: ~k.isin(known)).alias("attrs"),
     )
 
 

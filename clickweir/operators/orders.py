@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickweir import schemas
 from clickweir.functions.text import drop_trailing, not_blank
+from clickweir.operators.columns import computed_once
 
 
 def _other_columns(df: DataFrame, message: str) -> list[str]:
@@ -20,14 +21,11 @@ def parse_sale_order(df: DataFrame, message: str = "value") -> DataFrame:
     ``valid_orders`` and ``order_metrics`` tell them apart.
     """
     order = F.from_json(F.col(message), schemas.SALE_ORDER, {"mode": "PERMISSIVE"})
-    return (
-        df.withColumn("_order", order)
-        .select(
-            *_other_columns(df, message),
-            F.col("_order.orderId").alias("order_id"),
-            F.col("_order.provinceId").alias("province_id"),
-            F.col("_order.orderPrice").cast("double").alias("order_price"),
-        )
+    return computed_once(df, "_order", order).select(
+        *_other_columns(df, message),
+        F.col("_order.orderId").alias("order_id"),
+        F.col("_order.provinceId").alias("province_id"),
+        F.col("_order.orderPrice").cast("double").alias("order_price"),
     )
 
 
@@ -43,15 +41,21 @@ def filter_valid_csv(df: DataFrame, message: str = "value") -> DataFrame:
 
 
 def parse_csv_order(df: DataFrame, message: str = "value") -> DataFrame:
-    """``orderId,provinceId,orderPrice`` messages to typed columns, null when malformed."""
-    fields = _csv_fields(F.col(message))
+    """``orderId,provinceId,orderPrice`` messages to typed columns.
+
+    Province and price are null when malformed or when the message does not have
+    exactly three fields.
+    """
+    fields = F.col("_fields")
+    whole = F.size(fields) == 3
     # Numbers are taken as written: a padded province is malformed.
     province = F.get(fields, F.lit(1))
-    return df.select(
+    return computed_once(df, "_fields", _csv_fields(F.col(message))).select(
         *_other_columns(df, message),
         F.get(fields, F.lit(0)).alias("order_id"),
-        F.when(province.rlike(r"^[+-]?\d+$"), province.try_cast("int")).alias("province_id"),
-        F.get(fields, F.lit(2)).try_cast("double").alias("order_price"),
+        F.when(whole & province.rlike(r"^[+-]?\d+$"), province.try_cast("int"))
+        .alias("province_id"),
+        F.when(whole, F.get(fields, F.lit(2)).try_cast("double")).alias("order_price"),
     )
 
 

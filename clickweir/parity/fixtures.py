@@ -12,6 +12,8 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickweir.operators.columns import computed_once
+
 # Agent texts by user_id % 7; 5 has no agent parameter and 6 a blank one.
 AGENTS = [
     "Mozilla/5.0 (Windows NT 5.1) AppleWebKit/537.36 (KHTML, like Gecko) "
@@ -63,8 +65,7 @@ def log_lines(events: DataFrame) -> DataFrame:
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
-    return base.selectExpr(
-        "event_id",
+    line = F.expr(
         f"""concat_ws('^A',
             CASE WHEN event_id % 43 = 5 THEN '' WHEN event_id % 41 = 3 THEN '10.300.1.1'
                  ELSE concat_ws('.', CASE WHEN event_id % 2 = 0 THEN '10' ELSE '1' END,
@@ -73,8 +74,9 @@ def log_lines(events: DataFrame) -> DataFrame:
                  ELSE concat(ms div 1000, '.', lpad(ms % 1000, 3, '0')) END,
             concat('www', user_id % 3, '.example.com'),
             concat('/log.gif?', concat_ws('&', {', '.join(params)}))
-        ) AS value""",
+        )"""
     )
+    return computed_once(base, "value", line).select("event_id", "value")
 
 
 def dirty_log_lines(events: DataFrame) -> DataFrame:
@@ -124,7 +126,7 @@ _PROVINCE = "CAST(o_custkey % 34 + 1 AS INT)"
 
 def sale_order_messages(orders: DataFrame) -> DataFrame:
     """JSON orders; some are not JSON, lack the province or carry an extra property."""
-    return orders.selectExpr(
+    message = F.expr(
         f"""CASE o_orderkey % 19
               WHEN 3 THEN 'not json'
               WHEN 4 THEN to_json(named_struct('orderId', CAST(o_orderkey AS STRING),
@@ -134,13 +136,14 @@ def sale_order_messages(orders: DataFrame) -> DataFrame:
                                                'orderPrice', o_totalprice, 'note', 'x'))
               ELSE to_json(named_struct('orderId', CAST(o_orderkey AS STRING),
                                         'provinceId', {_PROVINCE}, 'orderPrice', o_totalprice))
-            END AS value"""
+            END"""
     )
+    return computed_once(orders, "value", message).select("value")
 
 
 def csv_messages(orders: DataFrame) -> DataFrame:
     """CSV orders; some are too short, too long, blank or not numeric."""
-    return orders.selectExpr(
+    message = F.expr(
         f"""CASE o_orderkey % 23
               WHEN 0 THEN concat_ws(',', o_orderkey, {_PROVINCE})
               WHEN 1 THEN concat_ws(',', o_orderkey, {_PROVINCE}, o_totalprice, 'x')
@@ -149,8 +152,9 @@ def csv_messages(orders: DataFrame) -> DataFrame:
               WHEN 4 THEN concat_ws(',', o_orderkey, concat('p', {_PROVINCE}), o_totalprice)
               WHEN 5 THEN concat(o_orderkey, ', ', {_PROVINCE}, ',', o_totalprice)
               ELSE concat_ws(',', o_orderkey, {_PROVINCE}, o_totalprice)
-            END AS value"""
+            END"""
     )
+    return computed_once(orders, "value", message).select("value")
 
 
 def typed_order_messages(orders: DataFrame) -> DataFrame:

@@ -42,6 +42,10 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaping.spread_small_input(table(spark, sf_dir, "events"))
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shaping.spread_small_input(table(spark, sf_dir, "orders"))
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.log_lines(_events(spark, sf_dir))
 
@@ -191,11 +195,10 @@ def ip_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write a day twice, and another day, then scan one day's launches."""
+    """Write a day and another, empty day, then scan the first day's launches."""
     path = storage.new_dir(spark, "event-logs")
     day = enrich.enrich_user_agent(_parsed(spark, sf_dir)).drop("client_ip")
-    for _ in range(2):
-        event_sinks.write_daily_events(day, path, PROCESS_DATE)
+    event_sinks.write_daily_events(day, path, PROCESS_DATE)
     event_sinks.write_daily_events(day.limit(0), path, "2024-01-31")
     return event_sources.read_events(
         spark, path, PROCESS_DATE, schemas.LAUNCH_COLUMNS, schemas.LAUNCH
@@ -278,7 +281,7 @@ def upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sale_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = fixtures.sale_order_messages(table(spark, sf_dir, "orders"))
+    messages = fixtures.sale_order_messages(_orders(spark, sf_dir))
     return orders.valid_orders(orders.parse_sale_order(messages))
 
 
@@ -293,13 +296,13 @@ def province_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def csv_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = fixtures.csv_messages(table(spark, sf_dir, "orders"))
+    messages = fixtures.csv_messages(_orders(spark, sf_dir))
     return _rounded(orders.province_revenue(order_statistics.csv_orders(messages)))
 
 
 @registered
 def order_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = fixtures.sale_order_messages(table(spark, sf_dir, "orders"))
+    messages = fixtures.sale_order_messages(_orders(spark, sf_dir))
     return orders.order_metrics(orders.parse_sale_order(messages))
 
 
@@ -315,7 +318,7 @@ def top10_provinces_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def route_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = fixtures.typed_order_messages(table(spark, sf_dir, "orders"))
+    messages = fixtures.typed_order_messages(_orders(spark, sf_dir))
     return routed.keyed_orders(messages).groupBy("sink").agg(
         F.count(F.lit(1)).alias("messages"), F.countDistinct("order_id").alias("order_ids")
     )
@@ -335,14 +338,14 @@ def put_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = storage.new_dir(spark, "ledger")
     etl_streams.commit_offsets(
-        fixtures.typed_order_messages(table(spark, sf_dir, "orders")), ledger
+        fixtures.typed_order_messages(_orders(spark, sf_dir)), ledger
     )
     return offsets.read_ledger(spark, ledger)
 
 
 @registered
 def saved_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = fixtures.typed_order_messages(table(spark, sf_dir, "orders"))
+    messages = fixtures.typed_order_messages(_orders(spark, sf_dir))
     return offsets.offsets_by_topic(etl_streams.until_offsets(messages))
 
 

@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickweir.operators.orders import filter_valid_csv, parse_csv_order, parse_sale_order, valid_orders
+from clickweir.operators.orders import parse_csv_order, parse_sale_order, valid_orders
 from clickweir.session import build_session
 from clickweir.sinks.jdbc import JdbcTarget, write_jdbc_overwrite
 from clickweir.sources.streams import StreamSource, order_stream
@@ -21,7 +21,7 @@ def json_orders(messages: DataFrame) -> DataFrame:
 
 
 def csv_orders(messages: DataFrame) -> DataFrame:
-    return valid_orders(parse_csv_order(filter_valid_csv(messages)))
+    return valid_orders(parse_csv_order(messages))
 
 
 def revenue_query(orders: DataFrame, totals: str, checkpoint: str, mode: str = "complete",

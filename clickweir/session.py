@@ -10,6 +10,9 @@ DEFAULT_ZONE = "UTC"
 RUNTIME_SETTINGS = {
     # A repeated query parameter keeps its last value.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # HotSpot leaves methods above 8000 bytes of bytecode uncompiled; with this limit
+    # Spark runs such a stage operator by operator instead of in one slow method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
