@@ -127,7 +127,9 @@ def cells_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def merged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = logs.with_row_key(enrich.enrich_user_agent(_parsed(spark, sf_dir)))
-    merged = keyed.merge_colliding_rows(events, "event_id")
+    staged = storage.new_dir(spark, "events")
+    events.write.parquet(staged)
+    merged = keyed.merge_colliding_rows(spark.read.parquet(staged), "event_id")
     return merged.select("row_key", "en", "ip", "u_sd", "c_time", "pl", "ver", "browser", "os_v",
                          F.col("attrs")["kv_color"].alias("kv_color"))
 

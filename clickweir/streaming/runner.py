@@ -8,6 +8,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from clickweir.operators.shaping import cached
+
 # Micro-batch cadence of the programs (fixed values).
 STATISTICS_INTERVAL = "5 seconds"
 ORDER_ETL_INTERVAL = "2 seconds"
@@ -26,14 +28,18 @@ def foreach_batch(
 ) -> DataStreamWriter:
     """A writer that hands each non-empty micro-batch and its id to ``fn``.
 
+    The micro-batch is kept while ``fn`` runs, so reading it several times neither
+    reads the source nor updates the state again.
+
     ``checkpoint`` belongs on storage every executor reaches: restarting with it
     resumes offsets and state. Without ``interval`` the query processes what is
     available, in as many micro-batches as the source's limit asks for, and ends.
     """
 
     def skip_empty(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            fn(batch, batch_id)
+        with cached(batch):
+            if not batch.isEmpty():
+                fn(batch, batch_id)
 
     writer = (
         df.writeStream.foreachBatch(skip_empty)
