@@ -15,7 +15,7 @@ def ip_range_join(
     df: DataFrame,
     ip_ranges: DataFrame,
     ip: str = "ip",
-    max_rows: int = joins.BROADCAST_ROWS,
+    max_bytes: int = joins.BROADCAST_BYTES,
     max_per_bucket: int = joins.BUCKET_RANGES,
 ) -> DataFrame:
     """Add ``geo_country`` and ``geo_area``, the dictionary texts of an address.
@@ -33,7 +33,7 @@ def ip_range_join(
     )
     probed = df.withColumn("_ip_num", network.ip_to_long(F.col(ip)))
     joined = joins.range_join(
-        probed, "_ip_num", dimension, "_begin", "_end", max_rows, max_per_bucket
+        probed, "_ip_num", dimension, "_begin", "_end", max_bytes, max_per_bucket
     )
     found = F.col("_begin").isNotNull()
     return joined.select(
@@ -48,7 +48,7 @@ def enrich_ip(
     df: DataFrame,
     ip_ranges: DataFrame,
     ip: str = "client_ip",
-    max_rows: int = joins.BROADCAST_ROWS,
+    max_bytes: int = joins.BROADCAST_BYTES,
     max_per_bucket: int = joins.BUCKET_RANGES,
 ) -> DataFrame:
     """Fill country, province and city from the address.
@@ -57,7 +57,7 @@ def enrich_ip(
     address or field leaves the event's own value in place.
     """
     dimension = ip_ranges.withColumn("_region", geo.region_of(F.col("country")))
-    joined = ip_range_join(df, dimension, ip, max_rows, max_per_bucket)
+    joined = ip_range_join(df, dimension, ip, max_bytes, max_per_bucket)
     nowhere = F.struct(
         F.lit(geo.NO_COUNTRY).alias("country"),
         F.lit("unknown").alias("province"),

@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it was counted and stays below this many rows.
-BROADCAST_ROWS = 2_000_000
+# A side is broadcast only when it was measured and stays below this size.
+BROADCAST_BYTES = 256 * 1024 * 1024
 # Longest candidate list one probe may meet in the broadcast range join.
 BUCKET_RANGES = 1_024
 BUCKET_BITS = 16
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast of narrow rows if there are at most ``max_rows`` of them.
+def row_bytes(df: DataFrame) -> Column:
+    """Estimated size of a row: its text plus a fixed share per column."""
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
+    return sum(texts, F.lit(32 * len(texts)))
 
-    Counting stops at the limit. Beyond it the plain frame is returned, and Spark
-    joins it by shuffling, splitting skewed partitions.
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if ``df``, measured in one pass, is small enough.
+
+    Otherwise the plain frame is returned, and Spark joins it by shuffling,
+    splitting skewed partitions. ``df`` is read twice: hand in a stored frame.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    size = df.agg(F.sum(row_bytes(df)).alias("bytes")).first()["bytes"] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def bucket_ranges(ranges: DataFrame, begin: str, end: str, bits: int = BUCKET_BITS) -> DataFrame:
@@ -54,7 +59,7 @@ def range_join(
     ranges: DataFrame,
     begin: str,
     end: str,
-    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
     max_per_bucket: int = BUCKET_RANGES,
 ) -> DataFrame:
     """Left-join each point to the range holding it; ranges must not overlap.
@@ -64,10 +69,11 @@ def range_join(
     the ranges in a broadcast equi-join. Otherwise see ``range_lookup``.
     """
     bucketed = bucket_ranges(ranges, begin, end)
-    per_bucket = bucketed.groupBy("_bucket").count()
-    size = per_bucket.agg(F.sum("count").alias("rows"), F.max("count").alias("crowd")).first()
-    rows, crowd = size["rows"] or 0, size["crowd"] or 0
-    if rows <= max_rows and crowd <= max_per_bucket:
+    per_bucket = bucketed.groupBy("_bucket").agg(
+        F.count(F.lit(1)).alias("ranges"), F.sum(row_bytes(ranges)).alias("bytes")
+    )
+    size = per_bucket.agg(F.sum("bytes").alias("bytes"), F.max("ranges").alias("crowd")).first()
+    if (size["bytes"] or 0) <= max_bytes and (size["crowd"] or 0) <= max_per_bucket:
         right = F.broadcast(bucketed.withColumnRenamed("_bucket", "_range_bucket"))
         return df.join(
             right,

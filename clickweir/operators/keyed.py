@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickweir import schemas
 from clickweir.operators.joins import bounded_broadcast
 from clickweir.operators.logs import to_cells
+from clickweir.workspace import materialized
 
 
 def latest_by_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
@@ -47,8 +48,9 @@ def merge_colliding_rows(events: DataFrame, order: str) -> DataFrame:
     """
     typed = [c for c in schemas.EVENT_COLUMNS if c in events.columns]
     wide = ["row_key", *typed, "attrs"]
+    counted = events.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"))
     colliding = bounded_broadcast(
-        events.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row_key")
+        materialized(counted.where("n > 1").select("row_key"), "colliding-keys")
     )
     single = events.join(colliding, "row_key", "left_anti").select(*wide)
     cells = latest_cells(

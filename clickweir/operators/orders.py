@@ -67,6 +67,15 @@ def valid_orders(orders: DataFrame) -> DataFrame:
     return orders.where(is_valid_order())
 
 
+def observed_orders(orders: DataFrame, name: str = "orders") -> DataFrame:
+    """Count accepted and rejected orders on the way; a stream reports them per batch."""
+    return orders.observe(
+        name,
+        F.count_if(is_valid_order()).alias("accepted"),
+        F.count_if(~is_valid_order()).alias("rejected"),
+    )
+
+
 def order_metrics(orders: DataFrame) -> DataFrame:
     """Number of loaded, accepted and rejected orders in one pass."""
     return orders.agg(

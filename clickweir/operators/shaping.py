@@ -44,10 +44,11 @@ def preview(df: DataFrame, n: int = 1) -> DataFrame:
 
 
 def shrink_partitions(df: DataFrame, max_rows: int = SMALL_RESULT_ROWS) -> DataFrame:
-    """One partition for a result counted to be small; larger ones stay spread out."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return df.coalesce(1)
-    return df
+    """One partition for a result counted to be small; larger ones stay spread out.
+
+    The count is a job over ``df``: meant for results that are cached or cheap.
+    """
+    return df.coalesce(1) if df.count() <= max_rows else df
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:

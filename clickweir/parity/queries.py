@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir import schemas, storage
+from clickweir import schemas, storage, workspace
 from clickweir.functions import dates, geo, network, text
 from clickweir.operators import analytics, enrich, keyed, logs, orders, shaping
 from clickweir.parity import fixtures
@@ -95,7 +95,7 @@ def log_known_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def access_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = storage.new_dir(spark, "access-logs")
+    root = workspace.new_dir(spark, "access-logs")
     _lines(spark, sf_dir).select("value").write.text(f"{root}/{PROCESS_DATE}")
     scanned = logs.split_log_line(log_sources.read_access_logs(spark, root, PROCESS_DATE))
     return scanned.groupBy("http_host").agg(
@@ -111,7 +111,7 @@ def event_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def log_cells_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = logs.with_row_key(_parsed(spark, sf_dir))
-    path = storage.new_dir(spark, "cells")
+    path = workspace.new_dir(spark, "cells")
     event_sinks.write_sorted_cells(
         keyed.latest_cells(logs.to_cells(events, keep=["event_id"]), "event_id"), path
     )
@@ -127,9 +127,7 @@ def cells_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def merged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = logs.with_row_key(enrich.enrich_user_agent(_parsed(spark, sf_dir)))
-    staged = storage.new_dir(spark, "events")
-    events.write.parquet(staged)
-    merged = keyed.merge_colliding_rows(spark.read.parquet(staged), "event_id")
+    merged = keyed.merge_colliding_rows(workspace.materialized(events, "events"), "event_id")
     return merged.select("row_key", "en", "ip", "u_sd", "c_time", "pl", "ver", "browser", "os_v",
                          F.col("attrs")["kv_color"].alias("kv_color"))
 
@@ -148,7 +146,7 @@ def ip_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ip_region_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plan for a dictionary too large to broadcast."""
     split = logs.split_log_line(_lines(spark, sf_dir))
-    return _region_result(enrich.ip_range_join(split, _ranges(spark, sf_dir), max_rows=0))
+    return _region_result(enrich.ip_range_join(split, _ranges(spark, sf_dir), max_bytes=0))
 
 
 @registered
@@ -198,7 +196,7 @@ def ip_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write a day and another, empty day, then scan the first day's launches."""
-    path = storage.new_dir(spark, "event-logs")
+    path = workspace.new_dir(spark, "event-logs")
     day = enrich.enrich_user_agent(_parsed(spark, sf_dir)).drop("client_ip")
     event_sinks.write_daily_events(day, path, PROCESS_DATE)
     event_sinks.write_daily_events(day.limit(0), path, "2024-01-31")
@@ -210,7 +208,7 @@ def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def snapshot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish a day, overwrite the live day, and count the snapshot's launches."""
-    path, snapshots = storage.new_dir(spark, "event-logs"), storage.new_dir(spark, "snapshots")
+    path, snapshots = workspace.new_dir(spark, "event-logs"), workspace.new_dir(spark, "snapshots")
     day = enrich.enrich_user_agent(_parsed(spark, sf_dir)).drop("client_ip")
     event_sinks.write_daily_events(day, path, PROCESS_DATE)
     event_sinks.publish_snapshot(spark, path, PROCESS_DATE, snapshots)
@@ -223,7 +221,7 @@ def snapshot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def log_etl_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole ETL program, from text files to the daily table."""
-    root, path = storage.new_dir(spark, "access-logs"), storage.new_dir(spark, "event-logs")
+    root, path = workspace.new_dir(spark, "access-logs"), workspace.new_dir(spark, "event-logs")
     _lines(spark, sf_dir).select("value").write.text(f"{root}/{PROCESS_DATE}")
     log_etl.run_log_etl(spark, root, PROCESS_DATE, path, _ranges(spark, sf_dir))
     return event_sources.read_events(spark, path, PROCESS_DATE, ["row_key", "en", "u_ud", "u_mid"])
@@ -255,8 +253,8 @@ def new_users_browser_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def new_users_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both programs end to end: wide events, launches, counts, upserted twice."""
-    path = storage.new_dir(spark, "event-logs")
-    result = storage.new_dir(spark, "new-users")
+    path = workspace.new_dir(spark, "event-logs")
+    result = workspace.new_dir(spark, "new-users")
     events = log_etl.wide_events(_lines(spark, sf_dir), _ranges(spark, sf_dir)).drop("event_id")
     event_sinks.write_daily_events(events, path, PROCESS_DATE)
     for _ in range(2):
@@ -267,7 +265,7 @@ def new_users_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer balances, replaced by order totals where a customer has orders."""
-    path = storage.new_dir(spark, "balances")
+    path = workspace.new_dir(spark, "balances")
     balances = table(spark, sf_dir, "customer").select(
         "c_custkey", F.col("c_acctbal").alias("amount")
     )
@@ -338,7 +336,7 @@ def put_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = storage.new_dir(spark, "ledger")
+    ledger = workspace.new_dir(spark, "ledger")
     etl_streams.commit_offsets(
         fixtures.typed_order_messages(_orders(spark, sf_dir)), ledger
     )
@@ -359,11 +357,11 @@ def _order_messages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_revenue(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    totals = storage.new_dir(spark, "totals")
+    totals = workspace.new_dir(spark, "totals")
     messages = fixtures.sale_order_messages(_order_messages_stream(spark, sf_dir))
     runner.run_query(order_statistics.revenue_query(
         orders.valid_orders(orders.parse_sale_order(messages)), totals,
-        storage.new_dir(spark, "checkpoint"), mode, interval=None,
+        workspace.new_dir(spark, "checkpoint"), mode, interval=None,
     ))
     return _rounded(storage.read_keyed(spark, totals))
 
@@ -380,7 +378,7 @@ def running_revenue_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def stateful_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = storage.new_dir(spark, "totals")
+    totals = workspace.new_dir(spark, "totals")
     messages = fixtures.csv_messages(_order_messages_stream(spark, sf_dir))
     parsed = order_statistics.csv_orders(messages).select("province_id", "order_price")
     revenue = state.stateful_map(
@@ -388,17 +386,17 @@ def stateful_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         combine=state.summed_by("province_id", "order_price"),
     )
     runner.run_query(runner.foreach_batch(
-        revenue, statistics.upsert_totals(totals), storage.new_dir(spark, "checkpoint")
+        revenue, statistics.upsert_totals(totals), workspace.new_dir(spark, "checkpoint")
     ))
     return _rounded(storage.read_keyed(spark, totals))
 
 
 def _window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = storage.new_dir(spark, "window-counts")
+    path = workspace.new_dir(spark, "window-counts")
     stream = fixtures.purchases(table_stream(spark, f"{sf_dir}/events.parquet"))
     runner.run_query(runner.foreach_batch(
         statistics.windowed_counts(stream, "15 hours", "10 hours"),
-        statistics.upsert_window_counts(path), storage.new_dir(spark, "checkpoint"),
+        statistics.upsert_window_counts(path), workspace.new_dir(spark, "checkpoint"),
     ))
     return storage.read_keyed(spark, path)
 
@@ -422,12 +420,12 @@ def windowed_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def published_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest closed window's ranking, published by the stream itself."""
-    counts, result = storage.new_dir(spark, "window-counts"), storage.new_dir(spark, "top")
+    counts, result = workspace.new_dir(spark, "window-counts"), workspace.new_dir(spark, "top")
     stream = fixtures.purchases(table_stream(spark, f"{sf_dir}/events.parquet"))
     runner.run_query(runner.foreach_batch(
         statistics.windowed_counts(stream, "15 hours", "10 hours"),
         statistics.windowed_top_n(counts, lambda top: top.write.mode("overwrite").parquet(result)),
-        storage.new_dir(spark, "checkpoint"),
+        workspace.new_dir(spark, "checkpoint"),
     ))
     return _with_window_hours(spark.read.parquet(result))
 
@@ -435,10 +433,10 @@ def published_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def routed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream orders into the four keyed tables and read back every current message."""
-    root, ledger = storage.new_dir(spark, "routed"), storage.new_dir(spark, "ledger")
+    root, ledger = workspace.new_dir(spark, "routed"), workspace.new_dir(spark, "ledger")
     messages = fixtures.typed_order_messages(_order_messages_stream(spark, sf_dir))
     runner.run_query(runner.foreach_batch(
-        messages, etl_streams.store_orders(root, ledger), storage.new_dir(spark, "checkpoint"),
+        messages, etl_streams.store_orders(root, ledger), workspace.new_dir(spark, "checkpoint"),
         "append",
     ))
     return routed.read_routed(spark, root).select("sink", "order_id", "partition", "offset")

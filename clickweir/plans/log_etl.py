@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickweir import storage
+from clickweir import workspace
 from clickweir.operators.enrich import enrich_ip, enrich_user_agent
 from clickweir.operators.keyed import merge_colliding_rows
 from clickweir.operators.logs import (
@@ -17,6 +17,7 @@ from clickweir.operators.logs import (
     to_cells,
     with_row_key,
 )
+from clickweir.operators.shaping import with_metrics
 from clickweir.schemas import EVENT_COLUMNS
 from clickweir.session import build_session
 from clickweir.sinks.events import publish_snapshot, write_daily_events, write_sorted_cells
@@ -50,14 +51,18 @@ def run_log_etl(
     ip_ranges: DataFrame,
     cells_path: str | None = None,
     snapshot_root: str | None = None,
-) -> None:
+) -> dict[str, int]:
     """Load one day; running it again for the same day gives the same table.
 
+    Returns the number of lines loaded and of events kept, counted on the way.
+
     Lines are parsed once, into a staging folder, because finding colliding row
     keys reads the events again: there it reads a single column.
     """
-    staged = storage.new_dir(spark, f"etl-{process_date}")
-    wide_events(read_access_logs(spark, logs_root, process_date), ip_ranges).write.parquet(staged)
+    staged = workspace.new_dir(spark, f"etl-{process_date}")
+    lines, loaded = with_metrics(read_access_logs(spark, logs_root, process_date), "loaded")
+    parsed, kept = with_metrics(wide_events(lines, ip_ranges), "kept")
+    parsed.write.parquet(staged)
     events = merge_colliding_rows(spark.read.parquet(staged), "ingest_order")
     write_daily_events(events, table, process_date)
     if cells_path:
@@ -65,6 +70,7 @@ def run_log_etl(
                            cells_path)
     if snapshot_root:
         publish_snapshot(spark, table, process_date, snapshot_root)
+    return {"loaded": loaded.get["rows"], "kept": kept.get["rows"]}
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -80,8 +86,8 @@ def main(argv: list[str] | None = None) -> None:
     given = args.parse_args(argv)
     spark = build_session("log-etl", zone=given.zone)
     ranges = read_ip_ranges(spark, given.ip_ranges, given.ip_format)
-    run_log_etl(spark, given.logs, given.process_date, given.table, ranges,
-                given.cells, given.snapshots)
+    print(run_log_etl(spark, given.logs, given.process_date, given.table, ranges,
+                      given.cells, given.snapshots))
 
 
 if __name__ == "__main__":

@@ -14,7 +14,6 @@ from clickweir.operators.analytics import (
     new_users_by_browser_sql,
     new_users_by_platform,
 )
-from clickweir.operators.shaping import shrink_partitions
 from clickweir.session import build_session
 from clickweir.sources.events import read_events, read_snapshot
 
@@ -44,7 +43,7 @@ def run_new_users(
 ) -> None:
     """Upsert the day's browser counts into the result table."""
     counts = new_user_counts(launches(spark, table, process_date, snapshot))
-    storage.upsert_table(shrink_partitions(as_result_table(counts)), result, RESULT_KEYS)
+    storage.upsert_table(as_result_table(counts), result, RESULT_KEYS)
 
 
 def main(argv: list[str] | None = None) -> None:

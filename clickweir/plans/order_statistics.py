@@ -6,7 +6,12 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickweir.operators.orders import parse_csv_order, parse_sale_order, valid_orders
+from clickweir.operators.orders import (
+    observed_orders,
+    parse_csv_order,
+    parse_sale_order,
+    valid_orders,
+)
 from clickweir.session import build_session
 from clickweir.sinks.jdbc import JdbcTarget, write_jdbc_overwrite
 from clickweir.sources.streams import StreamSource, order_stream
@@ -17,11 +22,12 @@ MAX_PER_TRIGGER = 150_000
 
 
 def json_orders(messages: DataFrame) -> DataFrame:
-    return valid_orders(parse_sale_order(messages)).withColumnRenamed("timestamp", "ts")
+    parsed = observed_orders(parse_sale_order(messages))
+    return valid_orders(parsed).withColumnRenamed("timestamp", "ts")
 
 
 def csv_orders(messages: DataFrame) -> DataFrame:
-    return valid_orders(parse_csv_order(messages))
+    return valid_orders(observed_orders(parse_csv_order(messages)))
 
 
 def revenue_query(orders: DataFrame, totals: str, checkpoint: str, mode: str = "complete",

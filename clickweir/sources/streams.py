@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweir import schemas, storage
+from clickweir import schemas, workspace
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,7 @@ def table_stream(spark: SparkSession, path: str, max_files: int | None = None) -
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if storage.is_dir(spark, path):
+    if workspace.is_dir(spark, path):
         return reader.parquet(path)
     folder, name = path.rsplit("/", 1)
     return reader.option("pathGlobFilter", name).parquet(folder)

@@ -1,4 +1,4 @@
-"""Shared folders and keyed Parquet tables.
+"""Keyed Parquet tables.
 
 A keyed table is a folder of generations, ``<path>/gen=<n>``. A write produces
 the next generation from the newest complete one, so a lost executor, a failed
@@ -7,67 +7,22 @@ job or a repeated micro-batch never leaves readers without a whole table.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from clickweir.operators.keyed import replace_by_key
+from clickweir.operators.shaping import cached, shrink_partitions
+from clickweir.workspace import delete, exists, list_dir
 
 _KEPT_GENERATIONS = 2
-_local_dir: str | None = None
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared working folder, ``spark.checkpoint.dir``.
-
-    Where it is unset a temporary folder serves local sessions only.
-    """
-    global _local_dir
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="clickweir-")
-    return _local_dir
-
-
-def new_dir(spark: SparkSession, label: str) -> str:
-    """An unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def _fs(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-def is_dir(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
 
 
 def generations(spark: SparkSession, path: str) -> list[int]:
     """Complete generations of a keyed table, oldest first."""
     if not exists(spark, path):
         return []
-    fs, p = _fs(spark, path)
     found = []
-    for status in fs.listStatus(p):
-        name = status.getPath().getName()
+    for name in list_dir(spark, path):
         if name.startswith("gen=") and exists(spark, f"{path}/{name}/_SUCCESS"):
             found.append(int(name[4:]))
     return sorted(found)
@@ -95,13 +50,15 @@ def upsert_table(
     spark = updates.sparkSession
     done = generations(spark, path)
     newest = done[-1] if done else 0
-    merged = updates
-    if done:
-        merged = replace_by_key(spark.read.parquet(f"{path}/gen={newest}"), updates, keys)
-    if retain is not None:
-        merged = merged.where(retain)
     target = f"{path}/gen={newest + 1}"
-    merged.write.mode("overwrite").parquet(target)
+    # The updates are both written and matched against, so they are kept meanwhile.
+    with cached(updates):
+        merged = updates
+        if done:
+            merged = replace_by_key(spark.read.parquet(f"{path}/gen={newest}"), updates, keys)
+        if retain is not None:
+            merged = merged.where(retain)
+        shrink_partitions(merged).write.mode("overwrite").parquet(target)
     for old in done[: -_KEPT_GENERATIONS + 1 or None]:
-        _delete(spark, f"{path}/gen={old}")
+        delete(spark, f"{path}/gen={old}")
     return target

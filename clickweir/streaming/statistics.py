@@ -11,7 +11,6 @@ from clickweir.operators.orders import (
     top_provinces_per_window,
     windowed_order_count,
 )
-from clickweir.operators.shaping import shrink_partitions
 from clickweir.streaming.runner import BatchFunction
 
 WINDOW_LENGTH = "15 seconds"
@@ -39,7 +38,7 @@ def upsert_totals(path: str) -> BatchFunction:
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        storage.upsert_table(shrink_partitions(batch), path, TOTAL_KEYS)
+        storage.upsert_table(batch, path, TOTAL_KEYS)
 
     return store
 
@@ -72,7 +71,7 @@ def upsert_window_counts(path: str) -> BatchFunction:
     """Keep the newest count of each (window, province) in a keyed table."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        storage.upsert_table(shrink_partitions(batch), path, WINDOW_KEYS)
+        storage.upsert_table(batch, path, WINDOW_KEYS)
 
     return store
 
@@ -86,7 +85,7 @@ def windowed_top_n(path: str, publish, n: int = TOP_PROVINCES) -> BatchFunction:
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        storage.upsert_table(shrink_partitions(batch), path, WINDOW_KEYS)
+        storage.upsert_table(batch, path, WINDOW_KEYS)
         counts = storage.read_keyed(spark, path)
         newest = newest_closed_end(counts)
         if newest is None:

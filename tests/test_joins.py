@@ -52,7 +52,7 @@ def expected(ip):
 
 
 @pytest.mark.parametrize("limits", [
-    {}, {"max_rows": 0}, {"max_per_bucket": 0},
+    {}, {"max_bytes": 0}, {"max_per_bucket": 0},
 ])
 def test_ip_range_join_equals_brute_force(addresses, ranges, limits):
     joined = enrich.ip_range_join(addresses, ranges, **limits)
@@ -69,7 +69,7 @@ def test_small_dictionary_is_broadcast_on_the_bucket(addresses, ranges):
 
 
 def test_large_dictionary_is_not_joined_pairwise(addresses, ranges):
-    plan = physical_plan(enrich.ip_range_join(addresses, ranges, max_rows=0))
+    plan = physical_plan(enrich.ip_range_join(addresses, ranges, max_bytes=0))
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert "Window" in plan
 
@@ -138,6 +138,6 @@ def test_bounded_broadcast(spark):
     small = spark.range(10)
     facts = spark.range(100)
     assert "BroadcastHashJoin" in physical_plan(
-        facts.join(joins.bounded_broadcast(small, 10), "id", "left_semi")
+        facts.join(joins.bounded_broadcast(small), "id", "left_semi")
     )
     assert joins.bounded_broadcast(small, 9) is small

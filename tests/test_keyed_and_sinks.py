@@ -3,7 +3,7 @@ from conftest import physical_plan
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from clickweir import schemas, storage
+from clickweir import schemas, storage, workspace
 from clickweir.operators import keyed, logs, orders, shaping
 from clickweir.plans import log_etl, new_users
 from clickweir.sinks import events as event_sinks
@@ -84,13 +84,13 @@ class Session:
 
 def test_shared_dir_is_the_configured_one():
     configured = Session("spark://host:7077", **{"spark.checkpoint.dir": "hdfs://shared/work/"})
-    assert storage.shared_dir(configured) == "hdfs://shared/work"
-    assert "clickweir-" in storage.shared_dir(Session("local[2]"))
+    assert workspace.shared_dir(configured) == "hdfs://shared/work"
+    assert "clickweir-" in workspace.shared_dir(Session("local[2]"))
 
 
 def test_no_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError):
-        storage.shared_dir(Session("spark://host:7077"))
+        workspace.shared_dir(Session("spark://host:7077"))
 
 
 def wide(spark, *lines):
@@ -169,8 +169,9 @@ def test_log_etl_is_repeatable(spark, root):
     ranges = log_sources.read_ip_ranges(spark, f"{root}/ip")
     results = []
     for run in range(2):
-        log_etl.run_log_etl(spark, f"{root}/logs", DAY, f"{root}/events", ranges,
-                            f"{root}/cells{run}", f"{root}/snapshots{run}")
+        counted = log_etl.run_log_etl(spark, f"{root}/logs", DAY, f"{root}/events", ranges,
+                                      f"{root}/cells{run}", f"{root}/snapshots{run}")
+        assert counted == {"loaded": 4, "kept": 3}
         day = event_sources.read_events(spark, f"{root}/events", DAY)
         results.append(rows(day, "row_key", "en", "province", "city", "browser"))
     assert results[0] == results[1]
@@ -201,13 +202,16 @@ def test_views_and_frames(spark, capsys):
 
 
 def test_shaping(spark):
-    frame = spark.range(100).repartition(4)
+    frame = spark.range(100).repartition(4).cache()
     assert shaping.shrink_partitions(frame).rdd.getNumPartitions() == 1
     assert shaping.shrink_partitions(frame, max_rows=99).rdd.getNumPartitions() == 4
     assert shaping.preview(frame, 3).count() == 3
+    frame.unpersist()
     with shaping.cached(frame) as kept:
         assert kept.storageLevel.useDisk
     assert not frame.storageLevel.useDisk
+    assert workspace.materialized(frame, "frame").count() == 100
+    assert shaping.spread_small_input(spark.range(9).coalesce(1)).rdd.getNumPartitions() == 4
 
 
 MESSAGES = "topic string, partition int, offset long, timestamp timestamp, key string, value string"

@@ -58,6 +58,18 @@ def totals_of(df):
     return {r.province_id: round(r.total, 4) for r in df.collect()}
 
 
+def test_rejected_orders_are_reported_per_batch(spark, tmp_path):
+    topic = Topic(spark, tmp_path / "topic")
+    topic.send(0, 9, lambda i: body(i) if i % 3 else "not json")
+    query = runner.run_query(order_statistics.revenue_query(
+        order_statistics.json_orders(topic.stream()), str(tmp_path / "totals"),
+        str(tmp_path / "cp"), "update", None,
+    ))
+    assert query.lastProgress["observedMetrics"]["orders"].asDict() == {
+        "accepted": 6, "rejected": 3
+    }
+
+
 @pytest.mark.parametrize("mode", ["complete", "update"])
 def test_running_revenue_survives_a_restart(spark, topic, tmp_path, mode):
     totals = str(tmp_path / "totals")
