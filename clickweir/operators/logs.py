@@ -50,9 +50,12 @@ def parse_uri_params(uri: Column) -> Column:
     """
     halves = F.split(drop_trailing(uri, "?"), r"\?")
     query = F.when(F.size(halves) == 2, F.get(halves, F.lit(1))).otherwise("")
+    # Plain string tests decide most pairs; the regular expressions see the rest.
     pairs = F.filter(
         F.split(query, "&"),
-        lambda p: p.rlike(_HAS_VALUE) & ~(p.contains("%") & p.rlike(_MALFORMED)),
+        lambda p: p.contains("=")
+        & (~p.endswith("=") | p.rlike(_HAS_VALUE))
+        & (~p.contains("%") | ~p.rlike(_MALFORMED)),
     )
     encoded = F.map_from_entries(F.transform(
         pairs,
