@@ -43,12 +43,17 @@ def preview(df: DataFrame, n: int = 1) -> DataFrame:
     return df.limit(n)
 
 
-def shrink_partitions(df: DataFrame, max_rows: int = SMALL_RESULT_ROWS) -> DataFrame:
-    """One partition for a result counted to be small; larger ones stay spread out.
+def shrink_partitions(
+    df: DataFrame, rows: int | None = None, max_rows: int = SMALL_RESULT_ROWS
+) -> DataFrame:
+    """One partition for a small result; larger ones stay spread out.
 
-    The count is a job over ``df``: meant for results that are cached or cheap.
+    ``rows`` is a known bound on the rows; without it they are counted, which is a
+    job over ``df`` and meant for results that are cached or cheap.
     """
-    return df.coalesce(1) if df.count() <= max_rows else df
+    if rows is None:
+        rows = df.count()
+    return df.coalesce(1) if rows <= max_rows else df
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
@@ -62,10 +67,15 @@ def spread_small_input(df: DataFrame) -> DataFrame:
 
 @contextmanager
 def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """Keep an intermediate that several outputs read, and release it afterwards."""
+    """Keep an intermediate that several outputs read, and release it afterwards.
+
+    A frame that is already kept stays so.
+    """
+    if df.is_cached or df.storageLevel != StorageLevel.NONE:
+        yield df
+        return
     df.persist(level)
     try:
         yield df
     finally:
         df.unpersist()
-

@@ -55,5 +55,14 @@ def read_routed(spark: SparkSession, root: str, sink: str | None = None) -> Data
 
 
 def compact_routed(spark: SparkSession, root: str, compacted: str) -> None:
-    """Write the current messages to a new root, to read and append to from then on."""
-    read_routed(spark, root).write.mode("error").partitionBy("sink", "batch_id").parquet(compacted)
+    """Fold the history into one batch under a new root.
+
+    Read from and append to the new root from then on; the folded messages carry
+    the last batch id, so every later batch counts as newer.
+    """
+    last = spark.read.parquet(root).agg(F.max("batch_id").alias("last")).first()["last"]
+    (
+        read_routed(spark, root)
+        .withColumn("batch_id", F.lit(last).cast("long"))
+        .write.mode("error").partitionBy("sink", "batch_id").parquet(compacted)
+    )

@@ -53,12 +53,14 @@ def upsert_table(
     target = f"{path}/gen={newest + 1}"
     # The updates are both written and matched against, so they are kept meanwhile.
     with cached(updates):
-        merged = updates
+        merged, rows = updates, updates.count()
         if done:
-            merged = replace_by_key(spark.read.parquet(f"{path}/gen={newest}"), updates, keys)
+            old = spark.read.parquet(f"{path}/gen={newest}")
+            merged = replace_by_key(old, updates, keys)
+            rows += old.count()  # answered from the file footers
         if retain is not None:
             merged = merged.where(retain)
-        shrink_partitions(merged).write.mode("overwrite").parquet(target)
+        shrink_partitions(merged, rows).write.mode("overwrite").parquet(target)
     for old in done[: -_KEPT_GENERATIONS + 1 or None]:
         delete(spark, f"{path}/gen={old}")
     return target

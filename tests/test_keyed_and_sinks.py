@@ -208,6 +208,8 @@ def test_shaping(spark):
     assert shaping.preview(frame, 3).count() == 3
     frame.unpersist()
     with shaping.cached(frame) as kept:
+        with shaping.cached(frame):
+            pass
         assert kept.storageLevel.useDisk
     assert not frame.storageLevel.useDisk
     assert workspace.materialized(frame, "frame").count() == 100
@@ -252,6 +254,7 @@ def test_routed_store_is_idempotent(spark, root):
     routed.compact_routed(spark, f"{root}/routed", f"{root}/compacted")
     compacted = routed.read_routed(spark, f"{root}/compacted")
     assert rows(compacted, "sink", "order_id", "value") == expected
+    assert rows(spark.read.parquet(f"{root}/compacted").distinct(), "batch_id") == [(1,)] * 3
     store_on = order_etl.store_orders(f"{root}/compacted")
     store_on(message(spark, '{"orderType":"card","orderId":"2","v":9}', start=20), 2)
     assert rows(routed.read_routed(spark, f"{root}/compacted", "card"), "value") == [
