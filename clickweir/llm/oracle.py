@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from clickweir.llm import urls
 from clickweir.llm.quality import MIN_WORDS, RULES, STOP_WORDS
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -53,6 +54,83 @@ FROM judged
 """
 
 
+def _url_filters() -> str:
+    def strength(groups: str, n: str, k: str, parent_n: str, parent_k: str, parent: str) -> str:
+        mean = f"({parent_k} / {parent_n})"
+        return f"""
+SELECT CASE WHEN coalesce(total, 0) = 0 OR coalesce(variance, 0) = 0 THEN {urls.MAX_STRENGTH}
+            WHEN excess <= 0 THEN {urls.MAX_STRENGTH}
+            ELSE least({urls.MAX_STRENGTH}, greatest({urls.MIN_STRENGTH}, 1 / excess - 1)) END AS s
+FROM (
+  SELECT *, CASE WHEN room > 0 THEN (spread - v * free) / room ELSE 0.0 END AS excess FROM (
+    SELECT *, v * (total - squares - free) AS room FROM (
+      SELECT spread, variance, total, squares, variance / nullif(total, 0) AS v,
+             groups - parents AS free
+      FROM (SELECT sum({n} * pow({k} / {n} - {mean}, 2)) AS spread,
+                   sum({n} * {mean} * (1 - {mean})) AS variance, sum({n}) AS total,
+                   sum({n} * {n} / {parent_n}) AS squares, count(*) AS groups,
+                   count(DISTINCT {parent}) AS parents
+            FROM {groups} WHERE {n} > 0))))"""
+
+    two = ", ".join(f"'{s}'" for s in urls.TWO_LABEL_SUFFIXES)
+    rule = "NULL"
+    for r in sorted(urls.RULES, key=lambda r: (len(r.pattern), r.pattern)):
+        rule = (f"CASE WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND "
+                f"starts_with(path, '{r.path}') THEN '{r.pattern}' ELSE {rule} END")
+    verdict = " ".join(f"WHEN rule = '{r.pattern}' THEN '{r.verdict}'" for r in urls.RULES)
+    parts = "string_split(host, '.')"
+    last = f"array_to_string({parts}[-2:], '.')"
+    return f"""
+WITH split AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), worst AS (
+  SELECT doc_id AS page_id, max((quality = 0 OR toxic = 1)::INT) AS bad FROM labels GROUP BY 1
+), hosts AS (
+  SELECT *,
+    CASE WHEN {last} IN ({two}) AND {last} <> host THEN array_to_string({parts}[-3:], '.')
+         ELSE {last} END AS domain,
+    CASE WHEN {last} IN ({two}) AND {last} <> host THEN {last} ELSE {parts}[-1] END AS suffix
+  FROM (SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS k
+        FROM split LEFT JOIN worst USING (page_id) GROUP BY host)
+), domains AS (
+  SELECT domain, suffix, sum(n) AS domain_n, sum(k) AS domain_k FROM hosts GROUP BY 1, 2
+), suffixes AS (
+  SELECT suffix, sum(domain_n) AS suffix_n, sum(domain_k) AS suffix_k, 0 AS every,
+         sum(sum(domain_n)) OVER () AS all_n, sum(sum(domain_k)) OVER () AS all_k
+  FROM domains GROUP BY 1
+), per_domain AS (SELECT * FROM domains JOIN suffixes USING (suffix)
+), per_host AS (SELECT * FROM hosts JOIN domains USING (domain, suffix)
+), of_suffix AS ({strength("suffixes", "suffix_n", "suffix_k", "all_n", "all_k", "every")}
+), of_domain AS ({strength("per_domain", "domain_n", "domain_k", "suffix_n", "suffix_k", "suffix")}
+), of_host AS ({strength("per_host", "n", "k", "domain_n", "domain_k", "domain")}
+), suffix_level AS (
+  SELECT *, 
+    (s * CASE WHEN all_n > 0 THEN all_k / all_n ELSE 0.0 END + suffix_k) / (s + suffix_n)
+    AS suffix_mean
+  FROM per_domain, of_suffix
+), domain_level AS (
+  SELECT domain, suffix, (d.s * suffix_mean + domain_k) / (d.s + domain_n) AS domain_mean
+  FROM suffix_level, of_domain AS d
+), host_level AS (
+  SELECT host, n, s, (s * domain_mean + k) / (s + n) AS mean
+  FROM hosts JOIN domain_level USING (domain, suffix), of_host
+), known AS (
+  SELECT host, greatest(0.0, mean - {urls.BOUND} * sqrt(mean * (1 - mean) / (s + n + 1)))
+    AS bad_low FROM host_level
+), ruled AS (SELECT *, {rule} AS rule FROM split LEFT JOIN known USING (host))
+SELECT page_id, host, path, rule,
+       CASE {verdict} WHEN bad_low >= {urls.THRESHOLD} AND host <> '' THEN 'block'
+            ELSE 'allow' END AS verdict,
+       round(bad_low, 9) AS bad_low
+FROM ruled
+"""
+
+
 ORACLE_SQL = {
     "op4_quality_rules": _quality_rules(),
+    "op6_url_filters": _url_filters(),
 }

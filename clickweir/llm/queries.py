@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import quality
+from clickweir.llm import quality, sharding, urls
+
+SHARDS = [f"shard-{k:03d}" for k in range(64)]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -22,6 +24,20 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("quality.broken", ",").alias("broken"))
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes = _table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
+    return urls.filter_urls(_table(spark, sf_dir, "pages", "page_id", "url"), outcomes).select(
+        "page_id", "host", "path", "rule", "verdict", F.round("bad_low", 9).alias("bad_low"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(_table(spark, sf_dir, "documents", "doc_id"), "doc_id", SHARDS)
+
+
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
+    "op6_url_filters": op6_url_filters,
+    "op7_sharding": op7_sharding,
 }
