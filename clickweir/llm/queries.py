@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import quality, sharding, urls
+from clickweir.llm import bpe, quality, sharding, urls
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
 
 
@@ -15,6 +17,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return table.select(*columns) if columns else table
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = bpe.load_model(TOKENIZER)
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    decoded = bpe.decode(bpe.encode(documents, model, keep_text=False), model)
+    return decoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(_table(spark, sf_dir, "documents", "doc_id", "text"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -37,6 +49,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_bpe": op3_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op6_url_filters": op6_url_filters,
     "op7_sharding": op7_sharding,
