@@ -7,6 +7,26 @@ from clickweir.llm.quality import MIN_WORDS, RULES, STOP_WORDS
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
+_WARC = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), bits AS (
+  SELECT page_id, html, list_transform(range(0, 40), lambda i:
+           strpos('0123456789abcdef', hex[i + 1]) - 1) AS nibbles FROM payloads
+), digests AS (
+  SELECT page_id, html, array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (((nibbles[i * 5 // 4 + 1] * 256 + coalesce(nibbles[i * 5 // 4 + 2], 0) * 16
+         + coalesce(nibbles[i * 5 // 4 + 3], 0)) >> (7 - (i * 5) % 4)) & 31)::BIGINT + 1, 1)),
+    '') AS payload_digest
+  FROM bits
+), held AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS holder FROM digests)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> holder THEN holder END AS refers_to
+FROM held
+"""
+
 
 def _quality_rules() -> str:
     stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -131,6 +151,7 @@ FROM ruled
 
 
 ORACLE_SQL = {
+    "op1_warc": _WARC,
     "op4_quality_rules": _quality_rules(),
     "op6_url_filters": _url_filters(),
 }

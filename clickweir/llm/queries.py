@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import bpe, quality, sharding, urls
+from clickweir.llm import bpe, quality, sharding, urls, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -17,6 +17,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return table.select(*columns) if columns else table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return records.select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = bpe.load_model(TOKENIZER)
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -49,6 +56,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op3_bpe": op3_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op6_url_filters": op6_url_filters,
