@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import bpe, quality, sharding, urls, warc
+from clickweir.llm import bpe, minhash, quality, sharding, urls, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -24,6 +24,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op2_minhash_circulant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = bpe.load_model(TOKENIZER)
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -57,6 +61,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_minhash_circulant": op2_minhash_circulant,
     "op3_bpe": op3_bpe,
     "op4_quality_rules": op4_quality_rules,
     "op6_url_filters": op6_url_filters,
