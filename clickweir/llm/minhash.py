@@ -6,9 +6,10 @@ buckets. Copies of one shingle set are one representative from the start.
 
 Inside a bucket no all-pairs list is made. A few members at a time are centers and meet
 the members of other components; what they link becomes one component, and pairs inside
-a component need no test. Rounds go on, with four times as many centers, until no bucket
+a component need no test. Rounds go on, with more centers each time, until no bucket
 has members of two components that have not met, so no link between representatives
-that share a bucket is lost, whatever the bucket's size. Links are confirmed on whole
+that share a bucket is lost, whatever the bucket's size. Members of crowded buckets are first
+dealt into finer ones by their rarest shingles, which loses no link either. Links are confirmed on whole
 shingle sets (64-bit hashes of the shingles).
 
 A pair at the threshold of 0.75 shares none of 32 bands of 4 coordinates with
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,10 +43,13 @@ BANDS = 32
 ROWS = 4
 # Linked if 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
+# Buckets of more members are replaced by finer ones.
+CROWD = 32
+COUNTERS = 1 << 16
 # Lists of ids up to this size are broadcast, larger ones are joined by shuffling.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Centers per bucket grow by this factor each round.
-MORE_CENTERS = 4
+MORE_CENTERS = 8
 _BLOCK = 1 << 15
 
 
@@ -172,21 +177,67 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -
         "a", "b")
 
 
+def _in_company(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that have several members, with their number."""
+    sizes = rows.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("members"))
+    return rows.join(sizes.where("members > 1"), ["band", "bucket"])
+
+
+def prefixes(sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """Finer buckets (id, n_shingles, place, band -1, bucket) for members of crowded ones.
+
+    In any one order of all shingles, two similar sets of n shingles share one of their
+    first n - ceil(n * similarity) + 1. Rare shingles come first, so that a passage that
+    many documents share brings none of them together, and two that first share a shingle
+    at some place share no more than what follows it. How often a shingle occurs is
+    read from a table of ``COUNTERS`` sums, whatever the number of shingles.
+    """
+    counts = np.zeros(COUNTERS, dtype=np.int64)
+    for row in sets.select(F.explode("shingles").alias("s")).groupBy(
+            F.pmod("s", F.lit(COUNTERS)).alias("at")).count().collect():
+        counts[row["at"]] = row["count"]
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            bounds = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(
+                lists).to_numpy(zero_copy_only=False))])
+            parts = []
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                own, n = values[lo:hi], int(hi - lo)
+                order = np.lexsort((own, shared.value[own % COUNTERS]))
+                parts.append(own[order[:n + (-n * similarity // 100) + 1]])
+            ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+            joined = np.concatenate(parts) if parts else values[:0]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.diff(bounds), pa.int64()),
+                 _lists(joined, ends)], names=["id", "n_shingles", "prefix"])
+
+    kind = sets.schema["id"].dataType.simpleString()
+    return sets.mapInArrow(run, f"id {kind}, n_shingles long, prefix array<long>").select(
+        "id", "n_shingles", F.lit(-1).alias("band"), F.posexplode("prefix").alias("place", "bucket"))
+
+
 def linked(docs: DataFrame, representatives: DataFrame, id_: str, text: str, scratch: Scratch,
            shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """(u, label) of the representatives (id, n_shingles, bands) that have links."""
     exploded = representatives.select(
-        "id", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
-    shared = exploded.groupBy("band", "bucket").agg(
-        F.count(F.lit(1)).alias("members"), F.min("id").alias("least")).where("members > 1")
-    members = scratch.keep(
-        exploded.join(shared.select("band", "bucket"), ["band", "bucket"]), "members")
+        "id", "n_shingles", F.lit(0).alias("place"), F.posexplode("bands").alias("band", "bucket"))
+    members = scratch.keep(_in_company(exploded), "members")
     ids = scratch.keep(members.select("id").distinct(), "ids")
     wanted = bounded_broadcast(ids.withColumnRenamed("id", id_), BROADCAST_BYTES)
     sets = scratch.keep(
         shingle_sets(docs.join(wanted, id_, "left_semi"), id_, text, shingle)
         .dropDuplicates(["id"]), "sets")
-    waiting = members.withColumn("label", F.col("id"))
+    crowd = scratch.keep(members.where(F.col("members") > CROWD).select("id").distinct(), "crowd")
+    waiting = members.where(F.col("members") <= CROWD).drop("members")
+    if not crowd.isEmpty():
+        crowded = scratch.keep(sets.join(crowd, "id", "left_semi"), "crowded")
+        waiting = waiting.unionByName(scratch.keep(
+            _in_company(prefixes(crowded, similarity)).drop("members"), "prefixes"))
+    waiting = waiting.withColumn("label", F.col("id"))
     links, labels, tested, centers = None, None, None, 1
     while True:
         # The smallest waiting members of each bucket; the limit applies before the shuffle.
@@ -194,11 +245,12 @@ def linked(docs: DataFrame, representatives: DataFrame, id_: str, text: str, scr
         chosen = scratch.keep(waiting.withColumn("rank", F.row_number().over(smallest)).where(
             F.col("rank") <= centers).select(
             "band", "bucket", F.col("id").alias("a"), F.col("label").alias("label_a"),
-            F.col("n_shingles").alias("n_a")), "centers")
-        least, most = F.least("n_a", "n_shingles"), F.greatest("n_a", "n_shingles")
+            F.col("n_shingles").alias("n_a"), F.col("place").alias("place_a")), "centers")
+        # What the two can share, if this bucket is the first that they share.
+        common = F.least(F.col("n_a") - F.col("place_a"), F.col("n_shingles") - F.col("place"))
         pairs = waiting.join(chosen, ["band", "bucket"]).where(
             (F.col("a") < F.col("id")) & (F.col("label_a") != F.col("label"))
-            & (100 * least >= similarity * most)
+            & ((100 + similarity) * common >= similarity * (F.col("n_a") + F.col("n_shingles")))
         ).select("a", F.col("id").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
