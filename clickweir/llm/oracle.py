@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickweir.llm import urls
+from clickweir.llm import templates, urls
 from clickweir.llm.quality import MIN_WORDS, RULES, STOP_WORDS
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -150,8 +150,46 @@ FROM ruled
 """
 
 
+def line_templates(table: str) -> str:
+    """Documents of ``table`` with n_lines, n_dropped and the remaining text."""
+    lead, tail = templates.LEADING, f"(len(w) - {templates.LEADING})"
+    thirds = [f"w[{lead + 1} : {lead} + {tail} // 3]",
+              f"w[{lead + 1} + {tail} // 3 : {lead} + 2 * {tail} // 3]",
+              f"w[{lead + 1} + 2 * {tail} // 3 : len(w)]"]
+    free = ", ".join(
+        f"[{k + 1}::VARCHAR, len(w)::VARCHAR] || w[1:{lead}] || ['|'] || "
+        + " || ['|'] || ".join(t for j, t in enumerate(thirds) if j != k) for k in range(3))
+    return f"""
+WITH lines AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+  FROM {table} WHERE text IS NOT NULL
+), tokens AS (
+  SELECT doc_id, text, pos, regexp_extract_all(regexp_replace(line,
+    '{templates.FIELD}', '<*>', 'g'), '{_WORD}') AS w FROM lines
+), keyed AS (
+  SELECT doc_id, text, pos, unnest(CASE WHEN len(w) >= {templates.LONG_LINE}
+    THEN [['0', len(w)::VARCHAR] || w, {free}] ELSE [['0', len(w)::VARCHAR] || w] END) AS key
+  FROM tokens WHERE len(w) >= {templates.MIN_TOKENS}
+), recurring AS (
+  SELECT key, min((doc_id, pos)) AS first FROM keyed
+  GROUP BY key HAVING count(DISTINCT text) >= {templates.MIN_DOCUMENTS}
+), dropped AS (
+  SELECT doc_id, text, list(DISTINCT pos) AS gone FROM keyed JOIN recurring USING (key)
+  WHERE (doc_id, pos) <> first GROUP BY doc_id, text
+)
+SELECT d.doc_id, CASE WHEN d.text <> '' THEN len(string_split(d.text, chr(10))) ELSE 0 END
+         AS n_lines, coalesce(len(gone), 0) AS n_dropped,
+       CASE WHEN gone IS NULL THEN d.text ELSE array_to_string(
+         list_filter(string_split(d.text, chr(10)), lambda x, i: NOT list_contains(gone, i - 1)),
+         chr(10)) END AS text
+FROM {table} AS d LEFT JOIN dropped AS g ON d.doc_id = g.doc_id AND d.text = g.text
+"""
+
+
 ORACLE_SQL = {
     "op1_warc": _WARC,
     "op4_quality_rules": _quality_rules(),
     "op6_url_filters": _url_filters(),
+    "op9_line_templates": line_templates("documents"),
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import bpe, minhash, quality, sharding, urls, warc
+from clickweir.llm import bpe, minhash, quality, sharding, templates, urls, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -59,6 +59,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(_table(spark, sf_dir, "documents", "doc_id"), "doc_id", SHARDS)
 
 
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return templates.drop_recurring(documents).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_minhash_circulant": op2_minhash_circulant,
@@ -66,4 +71,5 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_url_filters": op6_url_filters,
     "op7_sharding": op7_sharding,
+    "op9_line_templates": op9_line_templates,
 }
