@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import bpe, minhash, quality, sharding, templates, urls, warc
+from clickweir.llm import bpe, minhash, quality, sharding, templates, tiling, urls, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -59,6 +59,13 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(_table(spark, sf_dir, "documents", "doc_id"), "doc_id", SHARDS)
 
 
+def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.tiled(
+        _table(spark, sf_dir, "documents", "doc_id", "text"),
+        _table(spark, sf_dir, "benchmark", "item_id", "text"),
+    ).withColumn("contaminated", F.col("coverage") >= tiling.COVERAGE)
+
+
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return templates.drop_recurring(documents).select("doc_id", "n_lines", "n_dropped", "text")
@@ -71,5 +78,6 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_url_filters": op6_url_filters,
     "op7_sharding": op7_sharding,
+    "op8_string_tiling": op8_string_tiling,
     "op9_line_templates": op9_line_templates,
 }
