@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import bpe, minhash, quality, sharding, templates, tiling, urls, warc
+from clickweir.llm import bpe, minhash, pii, quality, sharding, templates, tiling, urls, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -47,6 +47,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("quality.broken", ",").alias("broken"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return pii.find(documents, pii.fit(documents))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = _table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("page_id"),
@@ -76,6 +81,7 @@ QUERIES = {
     "op2_minhash_circulant": op2_minhash_circulant,
     "op3_bpe": op3_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op5_pii": op5_pii,
     "op6_url_filters": op6_url_filters,
     "op7_sharding": op7_sharding,
     "op8_string_tiling": op8_string_tiling,
