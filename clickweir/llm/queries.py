@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import bpe, minhash, pii, quality, sharding, templates, tiling, urls, warc
+from clickweir.llm import bpe, lm, minhash, pii, quality, sharding, templates, tiling, urls, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -76,6 +76,13 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.drop_recurring(documents).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
+    return lm.score(_table(spark, sf_dir, "documents", "doc_id", "text"), ~held_out).select(
+        "doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_minhash_circulant": op2_minhash_circulant,
@@ -86,4 +93,5 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_string_tiling": op8_string_tiling,
     "op9_line_templates": op9_line_templates,
+    "op10_deleted_interpolation": op10_deleted_interpolation,
 }
