@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import heapq
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side is broadcast only when it was measured and stays below this size.
 BROADCAST_BYTES = 256 * 1024 * 1024
@@ -53,6 +57,54 @@ def overlapping_ranges(ranges: DataFrame, begin: str, end: str) -> DataFrame:
     )
 
 
+def disjoint_ranges(ranges: DataFrame, begin: str, end: str) -> DataFrame:
+    """``ranges`` cut into pieces ``_from``-``_to`` of which no two overlap.
+
+    Where ranges overlap the narrowest wins, of equal ones the first by begin and then
+    by the text of its columns. Without overlaps each range is one piece.
+    """
+    if overlapping_ranges(ranges, begin, end).isEmpty():
+        return ranges.withColumns({"_from": F.col(begin), "_to": F.col(end)})
+
+    def swept(table: pa.Table) -> pa.Table:
+        low = table.column("_bucket")[0].as_py() << BUCKET_BITS
+        high = low + (1 << BUCKET_BITS) - 1
+        table = table.drop_columns(["_bucket"])
+        rows = table.to_pylist()
+        order = sorted(range(len(rows)), key=lambda i: (
+            rows[i][end] - rows[i][begin], rows[i][begin], str(sorted(rows[i].items()))))
+        starts: dict[int, list[int]] = {}
+        points = set()
+        for rank, i in enumerate(order):
+            first, last = max(rows[i][begin], low), min(rows[i][end], high)
+            starts.setdefault(first, []).append(rank)
+            points |= {first, last + 1}
+        open_: list[int] = []
+        pieces: list[list[int]] = []
+        points = sorted(points)
+        for at, following in zip(points, [*points[1:], None]):
+            for rank in starts.get(at, ()):
+                heapq.heappush(open_, rank)
+            while open_ and rows[order[open_[0]]][end] < at:
+                heapq.heappop(open_)
+            if open_ and at <= high:
+                winner = order[open_[0]]
+                if pieces and pieces[-1][0] == winner and pieces[-1][2] == at - 1:
+                    pieces[-1][2] = following - 1
+                else:
+                    pieces.append([winner, at, following - 1])
+        picked = table.take(pa.array([p[0] for p in pieces], pa.int64()))
+        return picked.append_column("_from", pa.array([p[1] for p in pieces], pa.int64())
+                                    ).append_column("_to", pa.array([p[2] for p in pieces],
+                                                                    pa.int64()))
+
+    schema = T.StructType([*ranges.schema, T.StructField("_from", T.LongType()),
+                           T.StructField("_to", T.LongType())])
+    # Ranges of one extent need one row; the dictionary is narrow, its text comes along once.
+    distinct = bucket_ranges(ranges.distinct(), begin, end)
+    return distinct.groupBy("_bucket").applyInArrow(swept, schema)
+
+
 def range_join(
     df: DataFrame,
     point: str,
@@ -62,13 +114,14 @@ def range_join(
     max_bytes: int = BROADCAST_BYTES,
     max_per_bucket: int = BUCKET_RANGES,
 ) -> DataFrame:
-    """Left-join each point to the range holding it; ranges must not overlap.
+    """Left-join each point to the narrowest range holding it, at most one.
 
-    One pass over the ranges measures the bucketed size. If it is small enough to
+    Overlapping ranges are made disjoint first, whatever plan follows. One pass over the ranges measures the bucketed size. If it is small enough to
     broadcast and no bucket is crowded, the points stay where they are and meet
     the ranges in a broadcast equi-join. Otherwise see ``range_lookup``.
     """
-    bucketed = bucket_ranges(ranges, begin, end)
+    ranges = disjoint_ranges(ranges, begin, end)
+    bucketed = bucket_ranges(ranges, "_from", "_to")
     per_bucket = bucketed.groupBy("_bucket").agg(
         F.count(F.lit(1)).alias("ranges"), F.sum(row_bytes(ranges)).alias("bytes")
     )
@@ -78,13 +131,13 @@ def range_join(
         return df.join(
             right,
             (F.shiftright(point, BUCKET_BITS) == F.col("_range_bucket"))
-            & F.col(point).between(F.col(begin), F.col(end)),
+            & F.col(point).between(F.col("_from"), F.col("_to")),
             "left",
-        ).drop("_range_bucket")
+        ).drop("_range_bucket", "_from", "_to")
     # Left join back on the point value: a value that fills much of the data is
     # split by the adaptive skew join, which also handles exact copies.
-    found = range_lookup(df.select(point), point, ranges, begin, end)
-    return df.join(found, point, "left")
+    found = range_lookup(df.select(point), point, ranges, "_from", "_to")
+    return df.join(found.drop("_from", "_to"), point, "left")
 
 
 def range_lookup(

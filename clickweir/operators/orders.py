@@ -129,13 +129,11 @@ def top_provinces_per_window(counts: DataFrame, n: int = 10) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= n)
 
 
-def top_provinces_sql(orders: DataFrame, n: int = 10, view: str = "sale_orders") -> DataFrame:
-    """``top_provinces`` as SQL text over a view of the orders."""
-    orders.createOrReplaceTempView(view)
-    return orders.sparkSession.sql(f"""
-        SELECT province_id, COUNT(1) AS cnt FROM {view}
-        GROUP BY province_id ORDER BY cnt DESC, province_id LIMIT {int(n)}
-    """)
+def top_provinces_sql(orders: DataFrame, n: int = 10) -> DataFrame:
+    """``top_provinces`` as SQL text; the frame is an argument and leaves no view behind."""
+    return orders.sparkSession.sql(
+        "SELECT province_id, count(*) AS cnt FROM {orders} GROUP BY province_id "
+        "ORDER BY cnt DESC, province_id LIMIT :n", args={"n": int(n)}, orders=orders)
 
 
 def with_json_field(df: DataFrame, field: str, name: str, message: str = "value") -> DataFrame:

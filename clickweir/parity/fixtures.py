@@ -16,8 +16,8 @@ from clickweir.operators.columns import computed_once
 
 # Agent texts by user_id % 7; 5 has no agent parameter and 6 a blank one.
 AGENTS = [
-    "Mozilla/5.0 (Windows NT 5.1) AppleWebKit/537.36 (KHTML, like Gecko) "
-    "Chrome/45.0.2454.101 Safari/537.36",
+    "Mozilla/5.0 (Windows NT 10.0) AppleWebKit/537.36 (KHTML, like Gecko) "
+    "Chrome/52.0.2743.82 Safari/537.36",
     "Mozilla/5.0 (Macintosh; Intel Mac OS X 10.10; rv:42.0) Gecko/20100101 Firefox/42.0",
     "Mozilla/5.0 (compatible; MSIE 9.0; Windows NT 6.1; Trident/5.0)",
     "Mozilla/5.0 (iPhone; CPU iPhone OS 9_1 like Mac OS X) AppleWebKit/601.1.46 "
@@ -114,6 +114,21 @@ def ip_ranges(customers: DataFrame, nations: DataFrame) -> DataFrame:
     return narrow.unionByName(wide)
 
 
+def nested_ranges(customers: DataFrame, nations: DataFrame) -> DataFrame:
+    """``ip_ranges`` with a wide range around all of 10/8, nested and repeated ones."""
+    ranges = ip_ranges(customers, nations)
+    inner = customers.where("c_custkey % 2 = 0").selectExpr(
+        "167772160 + c_custkey * 4096 + 16 AS begin_ip_num",
+        "167772160 + c_custkey * 4096 + 271 AS end_ip_num",
+        "concat('inner ', c_name) AS country", "c_mktsegment AS area")
+    again = inner.where("begin_ip_num % 3 = 0").selectExpr(
+        "begin_ip_num", "end_ip_num", "concat('later ', country) AS country", "area")
+    outer = nations.where("n_nationkey = 0").selectExpr(
+        "CAST(167772160 AS BIGINT) AS begin_ip_num", "CAST(184549375 AS BIGINT) AS end_ip_num",
+        "'outer' AS country", "n_name AS area")
+    return ranges.unionByName(inner).unionByName(again).unionByName(outer)
+
+
 def geo_texts(customers: DataFrame) -> DataFrame:
     text = "CASE c_custkey % 15 " + " ".join(
         f"WHEN {i} THEN '{t}'" for i, t in enumerate(GEO_TEXTS)

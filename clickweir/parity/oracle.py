@@ -8,7 +8,7 @@ from clickweir.schemas import EVENTS
 # --- shared relations ----------------------------------------------------------
 
 _AGENT_FACTS = [  # browser, version, system, system name by user_id % 7
-    ("Chrome", "45.0.2454.101", "Windows", "Windows XP"),
+    ("Chrome", "52.0.2743.82", "Windows", "Windows 10"),
     ("Firefox", "42.0", "OS X", "OS X 10.10"),
     ("IE", "9.0", "Windows", "Windows 7"),
     ("Safari", "9.0", "iOS", "iOS 9"),
@@ -144,6 +144,27 @@ SELECT event_id, ip, coalesce(r.country, '未知国家') AS geo_country,
        coalesce(r.area, '未知地区') AS geo_area
 FROM logs LEFT JOIN ranges r ON ip_num BETWEEN begin_ip_num AND end_ip_num"""
 
+_IP_REGION_NESTED = f"""WITH {_LOGS}, {_RANGES},
+nested AS (
+  SELECT begin_ip_num, end_ip_num, country, area FROM ranges
+  UNION ALL
+  SELECT 167772160 + c_custkey * 4096 + 16, 167772160 + c_custkey * 4096 + 271,
+         'inner ' || c_name, c_mktsegment FROM customer WHERE c_custkey % 2 = 0
+  UNION ALL
+  SELECT 167772160 + c_custkey * 4096 + 16, 167772160 + c_custkey * 4096 + 271,
+         'later inner ' || c_name, c_mktsegment FROM customer
+  WHERE c_custkey % 2 = 0 AND (167772160 + c_custkey * 4096 + 16) % 3 = 0
+  UNION ALL
+  SELECT 167772160, 184549375, 'outer', n_name FROM nation WHERE n_nationkey = 0
+), addresses AS (
+  SELECT ip_num, country, area, row_number() OVER (
+    PARTITION BY ip_num ORDER BY end_ip_num - begin_ip_num, begin_ip_num, area, country) AS place
+  FROM (SELECT DISTINCT ip_num FROM logs) JOIN nested ON ip_num BETWEEN begin_ip_num AND end_ip_num
+)
+SELECT event_id, ip, coalesce(a.country, '未知国家') AS geo_country,
+       coalesce(a.area, '未知地区') AS geo_area
+FROM logs LEFT JOIN (SELECT * FROM addresses WHERE place = 1) a USING (ip_num)"""
+
 _CELL_COLUMNS = [
     "ip", "s_time", "http_host", "en", "ver", "u_ud", "u_mid", "u_sd", "c_time", "l", "b_iev",
     "b_rst", "pl", "tt",
@@ -245,6 +266,8 @@ SELECT row_key, {', '.join(
 FROM keyed GROUP BY row_key""",
     "ip_region": _IP_REGION,
     "ip_region_large": _IP_REGION,
+    "ip_region_nested": _IP_REGION_NESTED,
+    "ip_region_nested_large": _IP_REGION_NESTED,
     "geo_decompose": f"SELECT c_custkey, {_region('c_custkey % 15', 'c_name')} FROM customer",
     "ip_enrich": f"""WITH {_LOGS}, {_RANGES},
 regions AS (SELECT begin_ip_num, end_ip_num, {_region('kind', 'country')} FROM ranges)

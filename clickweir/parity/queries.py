@@ -149,6 +149,24 @@ def ip_region_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _region_result(enrich.ip_range_join(split, _ranges(spark, sf_dir), max_bytes=0))
 
 
+def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.nested_ranges(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+
+
+@registered
+def ip_region_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges that nest and repeat: the narrowest wins."""
+    split = logs.split_log_line(_lines(spark, sf_dir))
+    return _region_result(enrich.ip_range_join(split, _nested(spark, sf_dir)))
+
+
+@registered
+def ip_region_nested_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same answer from the plan for large dictionaries."""
+    split = logs.split_log_line(_lines(spark, sf_dir))
+    return _region_result(enrich.ip_range_join(split, _nested(spark, sf_dir), max_bytes=0))
+
+
 @registered
 def geo_decompose(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = fixtures.geo_texts(table(spark, sf_dir, "customer"))

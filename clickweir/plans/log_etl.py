@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickweir import workspace
 from clickweir.operators.enrich import enrich_ip, enrich_user_agent
 from clickweir.operators.keyed import merge_colliding_rows
 from clickweir.operators.logs import (
     filter_known_events,
+    is_log_line,
     parse_event,
     project_event,
     split_log_line,
@@ -54,13 +57,16 @@ def run_log_etl(
 ) -> dict[str, int]:
     """Load one day; running it again for the same day gives the same table.
 
-    Returns the number of lines loaded and of events kept, counted on the way.
+    Returns the number of lines loaded, of malformed lines and of events kept, counted on
+    the way; what is neither had no known event. Staged rows are deleted at the end.
 
     Lines are parsed once, into a staging folder, because finding colliding row
     keys reads the events again: there it reads a single column.
     """
     staged = workspace.new_dir(spark, f"etl-{process_date}")
-    lines, loaded = with_metrics(read_access_logs(spark, logs_root, process_date), "loaded")
+    lines, loaded = with_metrics(
+        read_access_logs(spark, logs_root, process_date), "loaded",
+        rejected=F.count_if(~F.coalesce(is_log_line(F.col("value")), F.lit(False))))
     parsed, kept = with_metrics(wide_events(lines, ip_ranges), "kept")
     parsed.write.parquet(staged)
     events = merge_colliding_rows(spark.read.parquet(staged), "ingest_order")
@@ -70,12 +76,19 @@ def run_log_etl(
                            cells_path)
     if snapshot_root:
         publish_snapshot(spark, table, process_date, snapshot_root)
-    return {"loaded": loaded.get["rows"], "kept": kept.get["rows"]}
+    workspace.delete(spark, staged)
+    return {"loaded": loaded.get["rows"], "rejected": loaded.get["rejected"],
+            "kept": kept.get["rows"]}
+
+
+def process_day(value: str) -> str:
+    """A day as ``yyyy-MM-dd``; anything else would name a partition no date can be read from."""
+    return dt.date.fromisoformat(value).isoformat()
 
 
 def main(argv: list[str] | None = None) -> None:
     args = argparse.ArgumentParser(description="Load one day of access logs")
-    args.add_argument("process_date")
+    args.add_argument("process_date", type=process_day)
     args.add_argument("--logs", required=True)
     args.add_argument("--table", required=True)
     args.add_argument("--ip-ranges", required=True)

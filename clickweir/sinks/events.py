@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from clickweir import workspace
 from clickweir.sources.events import read_events, snapshot_path
 
 
@@ -12,14 +15,18 @@ def write_daily_events(
 ) -> None:
     """Write one day's partition, other days stay untouched.
 
-    An existing day is replaced, or with ``overwrite=False`` raises an error. The
-    day's folder is the write target, so a day without events becomes empty too.
+    An existing day is replaced, or with ``overwrite=False`` raises an error. The day is
+    written beside the table's partitions, where readers do not look, and takes its place
+    when it is whole; a failed job leaves the old day, and a day without events is empty.
     Each file is ordered by event (a local sort), which lets scans of one event
     skip the pages of all others.
     """
-    events.sortWithinPartitions("en").write.mode("overwrite" if overwrite else "error").parquet(
-        f"{table}/event_date={process_date}"
-    )
+    spark, day = events.sparkSession, f"{table}/event_date={process_date}"
+    if not overwrite and workspace.exists(spark, day):
+        raise FileExistsError(day)
+    staged = f"{table}/_staged-{uuid.uuid4().hex}"
+    events.sortWithinPartitions("en").write.parquet(staged)
+    workspace.replace(spark, staged, day)
 
 
 def publish_snapshot(

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir import schemas
+from clickweir import schemas, workspace
 
 
 def day_table_name(process_date: str, table: str = schemas.EVENT_TABLE) -> str:
@@ -22,8 +22,14 @@ def read_events(
     columns: list[str] | None = None,
     event: str | None = None,
 ) -> DataFrame:
-    """One day of events: the partition, columns and event filter reach the scan."""
-    day = spark.read.parquet(table).where(F.col("event_date") == F.lit(process_date).cast("date"))
+    """One day of events: the partition, columns and event filter reach the scan.
+
+    Only the day's folder is listed, if it is there.
+    """
+    folder = f"{table}/event_date={process_date}"
+    days = (spark.read.option("basePath", table).parquet(folder)
+            if workspace.exists(spark, folder) else spark.read.parquet(table))
+    day = days.where(F.col("event_date") == F.lit(process_date).cast("date"))
     if event is not None:
         day = day.where(F.col("en") == event)
     return day.select(*columns) if columns else day

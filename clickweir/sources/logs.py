@@ -10,10 +10,19 @@ from clickweir import schemas
 
 
 def read_access_logs(spark: SparkSession, root: str, process_date: str) -> DataFrame:
-    """One day's log folder as lines, with an ingestion rank for last-write-wins."""
-    return spark.read.text(f"{root}/{process_date}/").withColumn(
-        "ingest_order", F.monotonically_increasing_id()
+    """One day's log folder as lines, with an ingestion rank for last-write-wins.
+
+    The rank follows the files' times and names and a line's place in its file, however
+    the files are split and packed into tasks.
+    """
+    place = F.struct(
+        F.col("_metadata.file_modification_time").alias("time"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
     )
+    return spark.read.text(f"{root}/{process_date}/").select(
+        "value", place.alias("ingest_order"))
 
 
 def read_ip_ranges(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -56,6 +56,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Put a finished folder in the place of another."""
+    delete(spark, target)
+    fs, p = _fs(spark, source)
+    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(target).getParent())
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def materialized(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 

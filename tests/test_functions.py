@@ -15,8 +15,8 @@ def test_blank(one_row):
 
 
 def test_major_version(one_row):
-    assert one_row(["45.0.2454.101", "9", "", ".5", None], text.major_version) == [
-        "45", "9", "", "", None
+    assert one_row(["52.0.2743.82", "9", "", ".5", None], text.major_version) == [
+        "52", "9", "", "", None
     ]
 
 

@@ -141,3 +141,24 @@ def test_bounded_broadcast(spark):
         facts.join(joins.bounded_broadcast(small), "id", "left_semi")
     )
     assert joins.bounded_broadcast(small, 9) is small
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_bytes": 0}, {"max_per_bucket": 0}])
+def test_nested_and_repeated_ranges_give_the_narrowest(spark, limits):
+    pick = random.Random(3)
+    base = number("10.0.0.0")
+    rows = [(base, base + (1 << 18), "outer", "x"), (base + 10, base + 20, "inner", "x"),
+            (base + 10, base + 20, "twin", "x"), (base + 5, base + 15, "left", "x")]
+    for i in range(60):
+        begin = base + pick.randrange(1 << 18)
+        rows.append((begin, begin + pick.choice([0, 3, 70_000]), f"r{i}", "x"))
+    ranges = spark.createDataFrame(
+        rows, "begin_ip_num long, end_ip_num long, country string, area string")
+    points = sorted({p for b, e, *_ in rows for p in (b - 1, b, e, e + 1)})
+    texts = [".".join(str(p >> s & 255) for s in (24, 16, 8, 0)) for p in points]
+    frame = spark.createDataFrame([(t,) for t in texts], "ip string")
+    found = {r.ip: r.geo_country for r in enrich.ip_range_join(frame, ranges, **limits).collect()}
+    for p, t in zip(points, texts):
+        holding = sorted((e - b, b, c) for b, e, c, _ in rows if b <= p <= e)
+        assert found[t] == (holding[0][2] if holding else "未知国家"), t
+    assert len(found) == len(points)

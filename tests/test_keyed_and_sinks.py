@@ -108,8 +108,12 @@ def test_daily_events(spark, root):
     assert rows(event_sources.read_events(spark, table, DAY), "u_ud", "en") == [
         ("a", "e_l"), ("a", "e_pv")
     ]
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileExistsError):
         event_sinks.write_daily_events(two, table, DAY, overwrite=False)
+    with pytest.raises(Exception):
+        broken = two.withColumn("en", F.raise_error(F.lit("lost")).cast("string"))
+        event_sinks.write_daily_events(broken, table, DAY)
+    assert event_sources.read_events(spark, table, DAY).count() == 2
     event_sinks.write_daily_events(two.limit(0), table, DAY)
     assert event_sources.read_events(spark, table, DAY).isEmpty()
     assert event_sources.read_events(spark, table, "2015-12-21").count() == 1
@@ -171,7 +175,7 @@ def test_log_etl_is_repeatable(spark, root):
     for run in range(2):
         counted = log_etl.run_log_etl(spark, f"{root}/logs", DAY, f"{root}/events", ranges,
                                       f"{root}/cells{run}", f"{root}/snapshots{run}")
-        assert counted == {"loaded": 4, "kept": 3}
+        assert counted == {"loaded": 4, "rejected": 1, "kept": 3}
         day = event_sources.read_events(spark, f"{root}/events", DAY)
         results.append(rows(day, "row_key", "en", "province", "city", "browser"))
     assert results[0] == results[1]
