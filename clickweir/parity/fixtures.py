@@ -190,6 +190,13 @@ def typed_order_messages(orders: DataFrame) -> DataFrame:
     )
 
 
+def dirty_typed_messages(orders: DataFrame) -> DataFrame:
+    """Typed order messages of which some are no JSON and some lack the order id."""
+    return typed_order_messages(orders).withColumn("value", F.expr("""
+        CASE WHEN offset % 11 = 0 THEN concat('broken ', value)
+             WHEN offset % 13 = 0 THEN replace(value, 'orderId', 'order') ELSE value END"""))
+
+
 def purchases(events: DataFrame) -> DataFrame:
     """Purchase events as orders with a province and a time."""
     return events.where("event_type = 'purchase'").selectExpr(

@@ -354,6 +354,13 @@ SELECT sink, order_id, "partition", "offset" FROM (
   SELECT *, row_number() OVER (PARTITION BY sink, order_id
     ORDER BY o_orderdate DESC, "partition" DESC, "offset" DESC) AS rn FROM routed)
 WHERE rn = 1""",
+    "routed_metrics": """
+SELECT CAST(count(*) AS BIGINT) AS received,
+       CAST(count(*) FILTER (WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0) AS BIGINT)
+         AS stored,
+       CAST(count(*) FILTER (WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0) AS BIGINT)
+         AS rejected
+FROM orders""",
     "date_parts": """
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
        CAST(quarter(o_orderdate) AS INTEGER) AS season,

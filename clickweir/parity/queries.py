@@ -370,8 +370,15 @@ def saved_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- orders, streaming ---------------------------------------------------------
 
 
+def _batches(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table as a stream of several micro-batches, one file each."""
+    path = workspace.new_dir(spark, f"{name}-files")
+    table(spark, sf_dir, name).repartition(4, key).write.parquet(path)
+    return table_stream(spark, path, max_files=1)
+
+
 def _order_messages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_stream(spark, f"{sf_dir}/orders.parquet")
+    return _batches(spark, sf_dir, "orders", "o_orderkey")
 
 
 def _stream_revenue(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
@@ -411,7 +418,7 @@ def stateful_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace.new_dir(spark, "window-counts")
-    stream = fixtures.purchases(table_stream(spark, f"{sf_dir}/events.parquet"))
+    stream = fixtures.purchases(_batches(spark, sf_dir, "events", "event_id"))
     runner.run_query(runner.foreach_batch(
         statistics.windowed_counts(stream, "15 hours", "10 hours"),
         statistics.upsert_window_counts(path), workspace.new_dir(spark, "checkpoint"),
@@ -439,7 +446,7 @@ def windowed_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def published_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest closed window's ranking, published by the stream itself."""
     counts, result = workspace.new_dir(spark, "window-counts"), workspace.new_dir(spark, "top")
-    stream = fixtures.purchases(table_stream(spark, f"{sf_dir}/events.parquet"))
+    stream = fixtures.purchases(_batches(spark, sf_dir, "events", "event_id"))
     runner.run_query(runner.foreach_batch(
         statistics.windowed_counts(stream, "15 hours", "10 hours"),
         statistics.windowed_top_n(counts, lambda top: top.write.mode("overwrite").parquet(result)),
@@ -452,7 +459,8 @@ def published_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def routed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream orders into the four keyed tables and read back every current message."""
     root, ledger = workspace.new_dir(spark, "routed"), workspace.new_dir(spark, "ledger")
-    messages = fixtures.typed_order_messages(_order_messages_stream(spark, sf_dir))
+    # The order of files is not that of offsets, so this stream is one micro-batch.
+    messages = fixtures.typed_order_messages(table_stream(spark, f"{sf_dir}/orders.parquet"))
     runner.run_query(runner.foreach_batch(
         messages, etl_streams.store_orders(root, ledger), workspace.new_dir(spark, "checkpoint"),
         "append",
@@ -460,6 +468,12 @@ def routed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.read_routed(spark, root).select("sink", "order_id", "partition", "offset")
 
 
+@registered
+def routed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the routed store takes and what it leaves out."""
+    return routed.routing_metrics(fixtures.dirty_typed_messages(_orders(spark, sf_dir)))
+
+
 # --- dates ---------------------------------------------------------------------
 
 

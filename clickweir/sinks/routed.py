@@ -8,7 +8,7 @@ table holds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir.operators.keyed import latest_by_key
@@ -17,11 +17,31 @@ from clickweir.operators.orders import route_by_type, with_json_field
 MESSAGE_ORDER = ["timestamp", "partition", "offset"]
 
 
-def keyed_orders(messages: DataFrame) -> DataFrame:
-    """Messages with order_id and sink; a message without an order id is dropped."""
-    typed = with_json_field(
+def _typed(messages: DataFrame) -> DataFrame:
+    return with_json_field(
         with_json_field(messages, "orderType", "order_type"), "orderId", "order_id"
     )
+
+
+def _counts() -> list[Column]:
+    has_id = F.col("order_id").isNotNull()
+    return [F.count(F.lit(1)).alias("received"), F.count_if(has_id).alias("stored"),
+            F.count_if(~has_id).alias("rejected")]
+
+
+def routing_metrics(messages: DataFrame) -> DataFrame:
+    """Messages received, stored, and rejected for want of an order id, in one pass."""
+    return _typed(messages).agg(*_counts())
+
+
+def keyed_orders(messages: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Messages with order_id and sink; one without an order id (or no JSON) is left out.
+
+    ``seen`` observes what ``routing_metrics`` would count, on the way.
+    """
+    typed = _typed(messages)
+    if seen is not None:
+        typed = typed.observe(seen, *_counts())
     return route_by_type(typed.where(F.col("order_id").isNotNull()))
 
 

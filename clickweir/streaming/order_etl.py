@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickweir import storage
 from clickweir.sinks.routed import keyed_orders, write_routed
 from clickweir.streaming.runner import BatchFunction
 
+_LOG = logging.getLogger(__name__)
 LEDGER_KEYS = ["topic", "partition"]
 
 
@@ -24,15 +27,26 @@ def commit_offsets(messages: DataFrame, ledger: str) -> None:
     storage.upsert_table(until_offsets(messages), ledger, LEDGER_KEYS)
 
 
-def store_orders(root: str, ledger: str | None = None) -> BatchFunction:
+def log_routing(batch_id: int, counts: dict[str, int]) -> None:
+    """Report the messages of a micro-batch that were left out."""
+    if counts["rejected"]:
+        _LOG.warning("batch %s: %s of %s messages without an order id", batch_id,
+                     counts["rejected"], counts["received"])
+
+
+def store_orders(root: str, ledger: str | None = None, report=log_routing) -> BatchFunction:
     """Store each micro-batch by sink and order id, then commit its offsets.
 
+    ``report`` gets the batch's id and its counts of received, stored and rejected messages.
+
     Storing is idempotent per batch and offsets are saved last, so a failure in
     between repeats work without changing the result.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_routed(keyed_orders(batch), root, batch_id)
+        seen = Observation()
+        write_routed(keyed_orders(batch, seen), root, batch_id)
+        report(batch_id, seen.get)
         if ledger is not None:
             commit_offsets(batch, ledger)
 

@@ -210,3 +210,13 @@ def test_console(spark, topic, tmp_path, capsys):
     console.show_frame(topic.all().select("offset").orderBy("offset"), 1)
     assert "|0     |" in capsys.readouterr().out
     assert len(console.batch_header(topic.all(), "yyyy-MM-dd HH:mm:ss")) == 19
+
+
+def test_routing_reports_what_it_leaves_out(spark, tmp_path):
+    from clickweir.streaming import order_etl
+
+    rows = [("t", 0, i, f'{{"orderId": "{i}"}}' if i % 3 else "broken") for i in range(9)]
+    batch = spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
+    reports = []
+    order_etl.store_orders(f"{tmp_path}/routed", report=lambda *r: reports.append(r))(batch, 4)
+    assert reports == [(4, {"received": 9, "stored": 6, "rejected": 3})]
