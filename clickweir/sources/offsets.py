@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweir import schemas, storage
 
 
+# Fixed value of the source's JSON.
+EARLIEST = -2
+
+
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     return storage.read_keyed(spark, ledger, schemas.OFFSET_LEDGER)
 
@@ -21,7 +27,16 @@ def offsets_by_topic(ledger: DataFrame) -> DataFrame:
     )
 
 
-def load_offsets(spark: SparkSession, ledger: str, topic: str, default: str = "latest") -> str:
-    """``startingOffsets`` for a topic, or ``default`` when nothing was saved yet."""
-    saved = offsets_by_topic(read_ledger(spark, ledger).where(F.col("topic") == topic)).first()
-    return f'{{"{topic}":{saved["offsets"]}}}' if saved else default
+def load_offsets(spark: SparkSession, ledger: str, topic: str, default: str = "latest",
+                 partitions: int = 0) -> str:
+    """``startingOffsets`` for a topic, or ``default`` when nothing was saved yet.
+
+    The source wants every partition named. Those of the topic's ``partitions`` that the
+    ledger has never seen, idle or new, start at their earliest message.
+    """
+    rows = read_ledger(spark, ledger).where(F.col("topic") == topic).collect()
+    saved = {r["partition"]: r["until_offset"] for r in rows}
+    if not saved:
+        return default
+    named = {str(p): saved.get(p, EARLIEST) for p in sorted({*saved, *range(partitions)})}
+    return json.dumps({topic: named}, separators=(",", ":"))

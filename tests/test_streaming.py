@@ -220,3 +220,21 @@ def test_routing_reports_what_it_leaves_out(spark, tmp_path):
     reports = []
     order_etl.store_orders(f"{tmp_path}/routed", report=lambda *r: reports.append(r))(batch, 4)
     assert reports == [(4, {"received": 9, "stored": 6, "rejected": 3})]
+
+
+def test_ledger_names_idle_and_new_partitions(spark, tmp_path):
+    from clickweir.sources import offsets
+    from clickweir.streaming import order_etl
+
+    ledger = f"{tmp_path}/ledger"
+
+    def commit(*rows):
+        order_etl.commit_offsets(spark.createDataFrame(
+            rows, "topic string, partition int, offset long"), ledger)
+
+    assert offsets.load_offsets(spark, ledger, "t", "latest", 4) == "latest"
+    commit(("t", 0, 5), ("t", 2, 7))
+    commit(("t", 2, 9))  # partition 0 is idle in this batch and keeps its place
+    assert offsets.load_offsets(spark, ledger, "t") == '{"t":{"0":6,"2":10}}'
+    assert offsets.load_offsets(spark, ledger, "t", partitions=4) == (
+        '{"t":{"0":6,"1":-2,"2":10,"3":-2}}')
