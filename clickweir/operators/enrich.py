@@ -82,7 +82,8 @@ def enrich_user_agent(
     Plain expressions on every row: no shuffle, whatever the skew of agents.
     """
     matched = computed_once(df, "_browser", agents.browser_of(F.col(agent), browsers))
-    matched = computed_once(matched, "_system", agents.system_of(F.col(agent), systems))
+    # No generator here: a projection is pruned where nobody reads the system.
+    matched = matched.withColumn("_system", agents.system_of(F.col(agent), systems))
     filled = {}
     for name in ("browser", "browser_v", "os", "os_v"):
         value = F.col("_browser" if name.startswith("browser") else "_system")[name]

@@ -163,3 +163,11 @@ def test_ingestion_order_follows_files_not_their_sizes(spark, tmp_path):
         finally:
             spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         assert [r.value for r in rows] == expected
+
+
+def test_system_rules_are_pruned_where_only_browsers_are_read(spark):
+    from clickweir.operators import enrich
+
+    events = enrich.enrich_user_agent(lines(spark, "x").withColumnRenamed("value", "b_iev"))
+    plan = events.select("browser")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Windows NT 6.1" not in plan and "Chrome/" in plan
