@@ -17,7 +17,7 @@ probability 5e-6.
 
 Defined results: a text without words (null, empty, blank) has no shingles and is linked
 with nothing; a shorter text than the shingle is one shingle. Rows with the same id are
-one document. A row with a null id belongs to its copies, and is kept only without any.
+one document. A row with a null id belongs to its exact copies, and is kept only without any.
 """
 
 from __future__ import annotations
@@ -183,6 +183,32 @@ def _in_company(rows: DataFrame) -> DataFrame:
     return rows.join(sizes.where("members > 1"), ["band", "bucket"])
 
 
+def _occurrences(sets: DataFrame) -> np.ndarray:
+    """How often shingles occur, summed in ``COUNTERS`` counters of 64 pages."""
+    page = COUNTERS // 64
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in batches:
+            values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            sums += np.bincount(values % COUNTERS, minlength=COUNTERS)
+        pages = [k for k in range(64) if sums[k * page:(k + 1) * page].any()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(pages, pa.int32()),
+             pa.array([sums[k * page:(k + 1) * page].tobytes() for k in pages], pa.binary())],
+            names=["page", "sums"])
+
+    def added(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_py(), np.int64) for x in table.column("sums"))
+        return pa.table({"page": table.column("page")[:1], "sums": pa.array([total.tobytes()])})
+
+    counts = np.zeros(COUNTERS, dtype=np.int64)
+    for row in sets.select("shingles").mapInArrow(counted, "page int, sums binary").groupBy(
+            "page").applyInArrow(added, "page int, sums binary").collect():
+        counts[row["page"] * page:(row["page"] + 1) * page] = np.frombuffer(row["sums"], np.int64)
+    return counts
+
+
 def prefixes(sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Finer buckets (id, n_shingles, place, band -1, bucket) for members of crowded ones.
 
@@ -192,11 +218,7 @@ def prefixes(sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     at some place share no more than what follows it. How often a shingle occurs is
     read from a table of ``COUNTERS`` sums, whatever the number of shingles.
     """
-    counts = np.zeros(COUNTERS, dtype=np.int64)
-    for row in sets.select(F.explode("shingles").alias("s")).groupBy(
-            F.pmod("s", F.lit(COUNTERS)).alias("at")).count().collect():
-        counts[row["at"]] = row["count"]
-    shared = sets.sparkSession.sparkContext.broadcast(counts)
+    shared = sets.sparkSession.sparkContext.broadcast(_occurrences(sets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
