@@ -35,9 +35,9 @@ from clickweir.llm.words import mixed, text_bytes, word_hashes
 from clickweir.workspace import materialized
 
 # Text of a block; bounds what a task holds.
-BLOCK_BYTES = 10 * 1024 * 1024
+BLOCK_BYTES = 6 * 1024 * 1024
 # Text whose keys one part sums.
-PART_BYTES = 16 * 1024 * 1024
+PART_BYTES = 12 * 1024 * 1024
 EM_ROUNDS = 100
 # Weights are kept for context counts of 0, 1, 2-3, 4-7, ...
 BUCKETS = 48
@@ -70,24 +70,24 @@ def _sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tokens, mixed(before * _PAIR + tokens), bounds
 
 
-def blocked(docs: DataFrame, id_: str, text: str, trains: Column) -> DataFrame:
-    """(block, id, trains, text): documents in blocks of bounded size, in reading order."""
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (id, trains, text) with the number of their block in front."""
+    first, number, size = TaskContext.get().partitionId() << 32, 0, 0
+    for batch in batches:
+        blocks = []
+        for n in pa.compute.binary_length(batch.column(2)).to_pylist():
+            if size and size + (n or 0) > BLOCK_BYTES:
+                number, size = number + 1, 0
+            size += (n or 0) + 1
+            blocks.append(first + number)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(blocks, pa.int64()), *batch.columns], names=["block", "id", "trains", "text"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, number, size = TaskContext.get().partitionId() << 32, 0, 0
-        for batch in batches:
-            blocks = []
-            for n in pa.compute.binary_length(batch.column(2)).to_pylist():
-                if size and size + (n or 0) > BLOCK_BYTES:
-                    number, size = number + 1, 0
-                size += (n or 0) + 1
-                blocks.append(first + number)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks, pa.int64()), *batch.columns], names=["block", "id", "trains", "text"])
 
-    kind = docs.schema[id_].dataType.simpleString()
-    return docs.select(F.col(id_).alias("id"), trains.alias("trains"), F.col(text).alias("text")
-                       ).mapInArrow(run, f"block long, id {kind}, trains boolean, text string")
+def blocked(docs: DataFrame) -> DataFrame:
+    """(block, id, trains, text): documents in blocks of bounded size, in reading order."""
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(_numbered, f"block long, id {kind}, trains boolean, text string")
 
 
 def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
@@ -111,14 +111,14 @@ def _trained(table: pa.Table, bounds: np.ndarray) -> np.ndarray:
     return np.repeat(table.column("trains").to_numpy(), np.diff(bounds))
 
 
-def requests(blocks: DataFrame, parts: int) -> DataFrame:
+def requests(docs: DataFrame, parts: int) -> DataFrame:
     """(part, block, keys, counts): what each block has of each part's range of keys.
 
     Parts from 0 have words, parts from ``parts`` on have bigrams.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, table in _whole_blocks(batches):
+        for block, table in _whole_blocks(_numbered(batches)):
             tokens, pairs, bounds = _sequences(table.column("text").combine_chunks())
             trained = _trained(table, bounds)
             for first, keys in ((0, tokens), (parts, pairs)):
@@ -135,7 +135,7 @@ def requests(blocks: DataFrame, parts: int) -> DataFrame:
                     pa.array([packed(counts[lo:hi]) for lo, hi in spans], pa.binary()),
                 ], names=["part", "block", "keys", "counts"])
 
-    return blocks.mapInArrow(run, "part int, block long, keys binary, counts binary")
+    return docs.mapInArrow(run, "part int, block long, keys binary, counts binary")
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -300,8 +300,9 @@ def score(docs: DataFrame, trains: Column, id_: str = "doc_id", text: str = "tex
     scratch = Scratch(docs.sparkSession, "lm")
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
-    blocks = blocked(docs, id_, text, trains)
-    found = scratch.keep(answers(requests(blocks, parts)), "answers")
+    rows = docs.select(F.col(id_).alias("id"), trains.alias("trains"), F.col(text).alias("text"))
+    blocks = blocked(rows)
+    found = scratch.keep(answers(requests(rows, parts)), "answers")
     sums = found.where(F.col("part") < parts).agg(F.sum("kinds"), F.sum("total")).first()
     kinds, total = sums[0] or 0, sums[1] or 0
     path = scratch.folder("counted")
