@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Encoded words that a task remembers; beyond that it forgets all and starts again.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 200_000
 # Texts of about so many characters are encoded together.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 4_000_000
 # Longer position lists are merged as arrays.
 ARRAY_MERGE = 24
 
@@ -124,7 +124,7 @@ class PairIndex:
                 if rank not in lists:
                     lists[rank] = []
                     heapq.heappush(active, rank)
-                lists[rank].append(part)
+                lists[rank] += part.tolist() if len(part) < ARRAY_MERGE else [part]
 
         add(self._ranks_of(sym[:-1], sym[1:]), np.arange(len(sym) - 1))
         pairs = self.model.pairs
@@ -132,7 +132,9 @@ class PairIndex:
             rank = heapq.heappop(active)
             parts = lists.pop(rank)
             left, right, merged = self.of_rank[rank]
-            at = parts[0] if len(parts) == 1 else np.concatenate(parts)
+            arrays = [p for p in parts if not isinstance(p, int)]
+            at = np.concatenate([np.array([p for p in parts if isinstance(p, int)], np.int64),
+                                 *arrays])
             if left == right or len(at) < ARRAY_MERGE:
                 # One by one, from the left: a pair of equal symbols can overlap itself.
                 for p in sorted(set(at.tolist())):
@@ -149,7 +151,7 @@ class PairIndex:
                             if new[0] not in lists:
                                 lists[new[0]] = []
                                 heapq.heappush(active, new[0])
-                            lists[new[0]].append(np.array([a]))
+                            lists[new[0]].append(a)
                 continue
             at = np.unique(at)
             at = at[(sym[at] == left)]

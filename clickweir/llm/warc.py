@@ -15,8 +15,8 @@ records that were cut by a false candidate.
 
 Defined results: a null payload is written as an empty one; equal payloads of at least
 ``min_bytes`` are stored once, with the largest key, and others refer to it; a null url
-is left out, and line ends in one are percent-encoded. Keys must be distinct and not
-null; other columns of the input are not archived. A file that ends in the middle of a
+is left out, and line ends in one are percent-encoded. A row without a key is a response
+of its own; of rows that repeat a key each is a record. Other columns are not archived. A file that ends in the middle of a
 record keeps its whole records. An empty table gives an archive without files.
 """
 
@@ -81,7 +81,8 @@ def write_archive(df: DataFrame, path: str, key: str = "page_id", url: str = "ur
     record = F.concat(
         F.lit(f"{MAGIC}\r\n"),
         F.when(is_revisit, F.lit("WARC-Type: revisit\r\n")).otherwise("WARC-Type: response\r\n"),
-        _line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("key"), F.lit(">"))),
+        _line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(
+            F.col("key").cast("string"), F.lit("")), F.lit(">"))),
         _line("WARC-Date", F.lit(date)),
         F.coalesce(_line("WARC-Target-URI", address), F.lit("")),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_sha1(F.col("payload")))),
@@ -211,7 +212,8 @@ def read_archive(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
     header = F.col("header")
     identifier = r"(?i)\n{}: *<urn:page:([^>\r\n]*)>"
     return records.where(F.col("bytes").isNotNull()).select(
-        F.regexp_extract(header, identifier.format("WARC-Record-ID"), 1).alias("key"),
+        F.nullif(F.regexp_extract(header, identifier.format("WARC-Record-ID"), 1),
+                 F.lit("")).alias("key"),
         _header_value(header, "WARC-Type").alias("record_type"),
         _header_value(header, "WARC-Target-URI").alias("url"),
         F.nullif(F.regexp_extract(header, identifier.format("WARC-Refers-To"), 1),
@@ -259,13 +261,14 @@ def resolved(records: DataFrame) -> DataFrame:
     A response's are those of its stored bytes, a revisit's those of the response that
     it refers to.
     """
+    by = ["refers_to", "header_digest"]
     responses = records.where("record_type = 'response'").select(
-        F.col("key").alias("refers_to"), F.col("stored_bytes").alias("full_bytes"),
-        F.col("stored_digest").alias("full_digest"))
-    visited = records.where("record_type = 'revisit'").select("refers_to").distinct()
-    full = responses.join(visited, "refers_to", "left_semi")
+        F.col("key").alias("refers_to"), F.col("stored_digest").alias("header_digest"),
+        F.col("stored_bytes").alias("full_bytes"), F.col("stored_digest").alias("full_digest"))
+    visited = records.where("record_type = 'revisit'").select(*by).distinct()
+    full = responses.join(visited, by, "left_semi").dropDuplicates(by)
     revisit = F.col("record_type") == "revisit"
-    return records.join(full, "refers_to", "left").withColumns({
+    return records.join(full, by, "left").withColumns({
         "payload_bytes": F.when(revisit, F.col("full_bytes")).otherwise(F.col("stored_bytes")),
         "payload_digest": F.when(revisit, F.col("full_digest")).otherwise(F.col("stored_digest")),
     }).drop("full_bytes", "full_digest")

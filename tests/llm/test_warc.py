@@ -87,3 +87,14 @@ def test_truncated_file_keeps_whole_records(spark, scratch, tmp_path):
 
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_null_and_repeated_keys(spark):
+    rows = [(None, "u", "same", "k", 1), (None, None, None, "k", 1), (3, "u", "same", "k", 1),
+            (3, "u", "same", "k", 1), (3, "u", "other", "k", 1), (2, "u", "same", "k", 1)]
+    found = warc.round_trip(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r["key"] or "", r["record_type"], r["payload_bytes"], r["payload_digest"])
+                  for r in found) == sorted([
+                      ("", "response", 4, digest("same")), ("", "response", 0, digest("")),
+                      ("2", "revisit", 4, digest("same")), ("3", "response", 4, digest("same")),
+                      ("3", "response", 4, digest("same")), ("3", "response", 5, digest("other"))])
