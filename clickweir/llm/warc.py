@@ -56,20 +56,21 @@ def write_archive(df: DataFrame, path: str, key: str = "page_id", url: str = "ur
     own = scratch or Scratch(df.sparkSession, "warc-write")
     pages = df.select(
         F.col(key).alias("key"), F.col(url).alias("url"),
-        F.coalesce(F.col(payload), F.lit("")).alias("payload"))
+        F.coalesce(F.col(payload), F.lit("")).alias("payload")).withColumn(
+        "digest", base32_sha1(F.col("payload")))
     digests = own.keep(pages.select(
-        "key", base32_sha1(F.col("payload")).alias("digest"),
-        F.octet_length("payload").alias("size")), "warc-digests")
+        "key", "digest", F.octet_length("payload").alias("size")), "warc-digests")
     # Per digest one row; only digests that occur more than once refer to anything.
     holders = digests.where(F.col("size") >= min_bytes).groupBy("digest").agg(
         F.max("key").alias("holder"), F.count(F.lit(1)).alias("copies")
     ).where("copies > 1").drop("copies")
+    # A row per key and digest, so that rows that repeat both stay as many as they are.
     revisits = own.keep(digests.join(holders, "digest").where("key <> holder").select(
-        "key", "holder"), "warc-revisits")
+        "key", "digest", "holder").distinct(), "warc-revisits")
     if revisits.isEmpty():
         found = pages.withColumn("holder", F.lit(None).cast("string"))
     else:
-        found = pages.join(revisits, "key", "left")
+        found = pages.join(revisits, ["key", "digest"], "left")
     size = F.octet_length("payload")
     is_revisit = F.col("holder").isNotNull()
     http = F.concat(
@@ -85,7 +86,7 @@ def write_archive(df: DataFrame, path: str, key: str = "page_id", url: str = "ur
             F.col("key").cast("string"), F.lit("")), F.lit(">"))),
         _line("WARC-Date", F.lit(date)),
         F.coalesce(_line("WARC-Target-URI", address), F.lit("")),
-        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_sha1(F.col("payload")))),
+        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         F.when(is_revisit, F.concat(
             _line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("holder"), F.lit(">"))),
             _line("WARC-Profile", F.lit(REVISIT_PROFILE)))).otherwise(""),

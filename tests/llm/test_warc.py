@@ -98,3 +98,13 @@ def test_null_and_repeated_keys(spark):
                       ("", "response", 4, digest("same")), ("", "response", 0, digest("")),
                       ("2", "revisit", 4, digest("same")), ("3", "response", 4, digest("same")),
                       ("3", "response", 4, digest("same")), ("3", "response", 5, digest("other"))])
+
+
+def test_repeated_keys_that_hold_nothing(spark):
+    rows = [(1, "u", "same", "k", 1)] * 3 + [(1, "u", "other", "k", 1), (2, "u", "same", "k", 1)]
+    found = warc.round_trip(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r["key"], r["record_type"], r["refers_to"] or "", r["payload_bytes"],
+                   r["payload_digest"]) for r in found) == [
+                       ("1", "response", "", 5, digest("other")),
+                       *[("1", "revisit", "2", 4, digest("same"))] * 3,
+                       ("2", "response", "", 4, digest("same"))]
