@@ -61,15 +61,15 @@ HARMLESS = re.compile(r"(?i)\b(?:version|page|chapter|section|figure|year|since|
 _CANDIDATES = (
     # A value that is assigned to a name, or a long mixed run as keys are.
     ("secret", re.compile(r"""(?x)
-        (?P<name>[A-Za-z_]{2,30}+) [ ]? [=:] [ ]? ["']? (?P<value>[A-Za-z0-9+/_-]{8,200}+)""")),
-    ("secret", re.compile(r"(?<![A-Za-z0-9+/_-])(?P<value>(?=[A-Z]{3}[A-Z]*[0-9])[A-Z0-9]{16,64}+)"
+        (?P<name>[A-Za-z_]{2,30}+) [ ]? [=:] [ ]? ["']? (?P<value>[A-Za-z0-9+/_-]{8,}+)""")),
+    ("secret", re.compile(r"(?<![A-Za-z0-9+/_-])(?P<value>(?=[A-Z]{3}[A-Z]*[0-9])[A-Z0-9]{16,}+)"
                           r"(?![A-Za-z0-9+/_-])")),
-    ("secret", re.compile(r"(?<![A-Za-z0-9+/_-])(?P<value>(?=[0-9a-f]*[0-9])[0-9a-f]{16,128}+)"
+    ("secret", re.compile(r"(?<![A-Za-z0-9+/_-])(?P<value>(?=[0-9a-f]*[0-9])[0-9a-f]{16,}+)"
                           r"(?![A-Za-z0-9+/_-])")),
     # Grouped or long numbers that are none of the strict kinds.
     ("number", re.compile(r"(?<![A-Za-z0-9.-])(?P<value>[0-9]{2,6}(?:[ -][0-9]{2,6}){1,5}+"
-                          r"|[0-9]{7,20}+)(?![A-Za-z0-9-])")),
-    ("handle", re.compile(r"(?<![A-Za-z0-9._%+@-])(?P<value>@[A-Za-z0-9_]{3,30}+)(?![A-Za-z0-9@.])")),
+                          r"|[0-9]{7,}+)(?![A-Za-z0-9-])")),
+    ("handle", re.compile(r"(?<![A-Za-z0-9._%+@-])(?P<value>@[A-Za-z0-9_]{3,}+)(?![A-Za-z0-9@.])")),
 )
 
 LABELERS = ("pattern", "gazetteer", "announced", "harmless", "mixture")

@@ -97,3 +97,11 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert pii.fit(empty) is None
     assert pii.find(empty, None).count() == 0
+
+
+@pytest.mark.parametrize("text, kind, start", [
+    ("password=" + "aB3x" * 100, "secret", 9), ("f0" * 100, "secret", 0),
+    ("ABC" + "D1" * 50, "secret", 0), ("1" * 200, "secret", 0), ("@" + "h" * 40, "handle", 0)])
+def test_long_values_are_covered_whole(text, kind, start):
+    found = pii.candidates(text, pii.base_spans(text))
+    assert [(c.kind, c.start, c.end) for c in found] == [(kind, start, len(text))]
