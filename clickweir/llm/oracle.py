@@ -187,9 +187,78 @@ FROM {table} AS d LEFT JOIN dropped AS g ON d.doc_id = g.doc_id AND d.text = g.t
 """
 
 
+# crc32 by its table, which 8 steps of the polynomial make from each byte.
+_MERKLE = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY k) AS t
+  FROM (SELECT unnest(range(256)) AS k)
+), checked AS (
+  SELECT d.*, xor(list_reduce([4294967295::BIGINT] || list_transform(
+           string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+  FROM documents AS d, crc_table
+), encoded AS (
+  SELECT doc_id, lang, crc, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') AS e1,
+         coalesce(strlen(source) || ':' || source, '-') AS e2,
+         coalesce(strlen(lang) || ':' || lang, '-') AS e3,
+         coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS e4,
+         coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS e5,
+         coalesce(strlen(text) || ':' || text, '-') AS e6
+  FROM checked
+), leaves AS (
+  SELECT doc_id, lang, sha256(e1 || e2 || e3 || e4 || e6) AS leaf,
+         sha256(e1 || e2 || e3 || CASE WHEN crc % 7 = 0 THEN e5 ELSE e4 END || e6) AS claimed
+  FROM encoded
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY lang) AS size FROM leaves
+), nodes AS (
+  SELECT lang, 0 AS level, place AS k, size AS n, leaf AS digest FROM ranked
+  UNION ALL
+  SELECT lang, level + 1, k // 2, any_value((n + 1) // 2),
+         sha256(string_agg(digest, '' ORDER BY k))
+  FROM nodes WHERE n > 1 GROUP BY lang, level, k // 2
+), subroots AS (
+  SELECT lang, digest AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS k,
+         count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, k, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, k // 2, any_value((n + 1) // 2), sha256(string_agg(digest, '' ORDER BY k))
+  FROM tops WHERE n > 1 GROUP BY level, k // 2
+), climb AS (
+  SELECT doc_id, lang, leaf, 0 AS level, place AS k, size AS n, '' AS proof, claimed AS digest
+  FROM ranked
+  UNION ALL
+  SELECT c.doc_id, c.lang, c.leaf, c.level + 1, c.k // 2, (c.n + 1) // 2,
+         c.proof || coalesce(s.digest, ''),
+         sha256(CASE WHEN c.k % 2 = 1 THEN s.digest || c.digest
+                     ELSE c.digest || coalesce(s.digest, '') END)
+  FROM climb AS c LEFT JOIN nodes AS s
+    ON s.lang IS NOT DISTINCT FROM c.lang AND s.level = c.level AND s.k = xor(c.k, 1)
+  WHERE c.n > 1
+), climb_top AS (
+  SELECT c.doc_id, c.leaf, s.subroot, 0 AS level, s.k, s.n, c.proof, c.digest
+  FROM climb AS c JOIN subroots AS s ON s.lang IS NOT DISTINCT FROM c.lang WHERE c.n = 1
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.subroot, c.level + 1, c.k // 2, (c.n + 1) // 2,
+         c.proof || coalesce(t.digest, ''),
+         sha256(CASE WHEN c.k % 2 = 1 THEN t.digest || c.digest
+                     ELSE c.digest || coalesce(t.digest, '') END)
+  FROM climb_top AS c LEFT JOIN tops AS t ON t.level = c.level AND t.k = xor(c.k, 1)
+  WHERE c.n > 1
+)
+SELECT c.doc_id, c.leaf, c.subroot, t.digest AS root, sha256(c.proof) AS proof_sha256,
+       c.digest AS folded_root, c.digest = t.digest AS verified
+FROM climb_top AS c JOIN tops AS t ON t.n = 1 WHERE c.n = 1
+"""
+
+
 ORACLE_SQL = {
     "op1_warc": _WARC,
     "op4_quality_rules": _quality_rules(),
     "op6_url_filters": _url_filters(),
     "op9_line_templates": line_templates("documents"),
+    "op13_merkle_manifest": _MERKLE,
 }

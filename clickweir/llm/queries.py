@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import bpe, lm, minhash, pii, quality, sharding, templates, tiling, urls, warc
+from clickweir.llm import (bpe, lm, merkle, minhash, pii, quality, sharding, templates, tiling,
+                           urls, warc)
+from clickweir.llm.scratch import Scratch
+from clickweir.workspace import materialized
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -83,6 +86,21 @@ def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score", "score")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    documents = _table(spark, sf_dir, "documents", *fields)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    claimed = merkle.leaf_digest([
+        F.when(tampered, F.col(f) + 1).otherwise(F.col(f)) if f == "n_chars" else F.col(f)
+        for f in fields])
+    scratch = Scratch(spark, "merkle")
+    manifest = merkle.Manifest(documents, "doc_id", "lang", fields, scratch, {"claimed": claimed})
+    result = materialized(merkle.verified(manifest, "claimed").withColumnRenamed("id", "doc_id"),
+                          "merkle-proofs")
+    scratch.close()
+    return result
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_minhash_circulant": op2_minhash_circulant,
@@ -94,4 +112,5 @@ QUERIES = {
     "op8_string_tiling": op8_string_tiling,
     "op9_line_templates": op9_line_templates,
     "op10_deleted_interpolation": op10_deleted_interpolation,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
