@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import (bpe, lm, merkle, minhash, pii, quality, sharding, templates, tiling,
-                           urls, warc)
+from clickweir.llm import (bpe, jaccard, lm, merkle, minhash, pii, quality, sharding, templates,
+                           tiling, urls, warc)
 from clickweir.llm.scratch import Scratch
 from clickweir.workspace import materialized
 
@@ -86,6 +86,10 @@ def op10_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score", "score")
 
 
+def op11_vertical_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_classes(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     documents = _table(spark, sf_dir, "documents", *fields)
@@ -112,5 +116,6 @@ QUERIES = {
     "op8_string_tiling": op8_string_tiling,
     "op9_line_templates": op9_line_templates,
     "op10_deleted_interpolation": op10_deleted_interpolation,
+    "op11_vertical_jaccard": op11_vertical_jaccard,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
