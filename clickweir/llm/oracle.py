@@ -255,10 +255,55 @@ FROM climb_top AS c JOIN tops AS t ON t.n = 1 WHERE c.n = 1
 """
 
 
+_COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), lists AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lists GROUP BY lang
+), places AS (
+  SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+  FROM (SELECT lang, w, unnest(range(1, 6)) AS size FROM lists)
+), counted AS (
+  SELECT lang, size, w[i : i + size - 1] AS words, count(*)::BIGINT AS a FROM places
+  GROUP BY ALL HAVING count(*) >= 100
+), candidates AS (SELECT * FROM counted WHERE size > 1
+), cuts AS (
+  SELECT lang, size, words, a, k, words[1 : k] AS first_part, words[k + 1 : size] AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+), scores AS (
+  SELECT c.lang, c.size, c.words, c.a, f.a AS l, r.a AS r, n, c.k,
+         (1000::HUGEINT * c.a * n // (f.a::HUGEINT * r.a))::BIGINT AS score
+  FROM cuts AS c JOIN counted AS f ON f.lang = c.lang AND f.words = first_part
+  JOIN counted AS r ON r.lang = c.lang AND r.words = rest
+  JOIN totals AS t ON t.lang = c.lang
+), weakest AS (
+  SELECT * FROM scores
+  QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), inner_phrases AS (
+  SELECT lang, a, words[i : i + short - 1] AS words
+  FROM (SELECT *, unnest(range(1, size - short + 2)) AS i
+        FROM (SELECT *, unnest(range(2, size)) AS short FROM candidates))
+), kept AS (
+  SELECT * FROM weakest AS w WHERE NOT EXISTS (
+    SELECT 1 FROM inner_phrases AS i
+    WHERE i.lang = w.lang AND i.words = w.words AND 100 * i.a >= 100 * w.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase))
+         AS rank, phrase, a, l, r, n, score
+FROM (SELECT *, array_to_string(words, ' ') AS phrase FROM kept)
+QUALIFY rank <= 2000
+"""
+
+
 ORACLE_SQL = {
     "op1_warc": _WARC,
     "op4_quality_rules": _quality_rules(),
     "op6_url_filters": _url_filters(),
     "op9_line_templates": line_templates("documents"),
+    "op12_collocations": _COLLOCATIONS,
     "op13_merkle_manifest": _MERKLE,
 }

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweir.llm import (bpe, jaccard, lm, merkle, minhash, pii, quality, sharding, templates,
-                           tiling, urls, warc)
+from clickweir.llm import (bpe, collocations, jaccard, lm, merkle, minhash, pii, quality,
+                           sharding, templates, tiling, urls, warc)
 from clickweir.llm.scratch import Scratch
 from clickweir.workspace import materialized
 
@@ -90,6 +90,10 @@ def op11_vertical_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_classes(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents", "text", "lang"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     documents = _table(spark, sf_dir, "documents", *fields)
@@ -117,5 +121,6 @@ QUERIES = {
     "op9_line_templates": op9_line_templates,
     "op10_deleted_interpolation": op10_deleted_interpolation,
     "op11_vertical_jaccard": op11_vertical_jaccard,
+    "op12_collocations": op12_collocations,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
