@@ -202,3 +202,46 @@ def purchases(events: DataFrame) -> DataFrame:
     return events.where("event_type = 'purchase'").selectExpr(
         "CAST(user_id % 34 + 1 AS INT) AS province_id", "CAST(ts AS TIMESTAMP) AS ts"
     )
+
+
+def visits(events: DataFrame) -> DataFrame:
+    """Events as visits, some without a user; a third of the rest is one user's."""
+    return events.selectExpr(
+        "CASE WHEN user_id % 29 = 0 THEN NULL WHEN user_id % 3 = 0 THEN 'U0' "
+        "ELSE concat('U', user_id) END AS user",
+        "CAST(ts AS TIMESTAMP) AS ts", "event_type = 'view' AS page_view", "event_id")
+
+
+def referrals(events: DataFrame) -> DataFrame:
+    """(key, at, tie, value): referrers of some page views, at full hours, so with ties."""
+    return events.where("event_type = 'view' AND event_id % 3 > 0").select(
+        _hot_user(), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("at"),
+        F.col("event_id").alias("tie"), F.expr("concat('ref', event_id % 7)").alias("value"))
+
+
+def buyers(events: DataFrame) -> DataFrame:
+    """(key, at, event_id): purchases at full hours."""
+    return events.where("event_type = 'purchase'").select(
+        _hot_user(), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("at"), "event_id")
+
+
+def _hot_user():
+    return F.expr("CASE WHEN user_id % 29 = 0 THEN NULL WHEN user_id % 3 = 0 THEN 0 "
+                  "ELSE user_id END").alias("key")
+
+
+def created_orders(orders: DataFrame) -> DataFrame:
+    return orders.selectExpr("o_orderkey AS order_id", "CAST(o_orderdate AS TIMESTAMP) AS created_at",
+                             "CAST(o_totalprice AS DECIMAL(18, 2)) AS amount")
+
+
+def order_outcomes(orders: DataFrame) -> DataFrame:
+    """Payments, some of them late or before the order, and refunds, some without a payment."""
+    at = "CAST(o_orderdate AS TIMESTAMP) + make_interval(0, 0, 0, 0, {hours})"
+    paid = orders.where("o_orderkey % 4 > 0").selectExpr(
+        "o_orderkey AS order_id", "'paid' AS outcome",
+        at.format(hours="CAST(CASE o_orderkey % 9 WHEN 5 THEN 60 WHEN 7 THEN -2 "
+                        "ELSE o_orderkey % 40 END AS INT)") + " AS outcome_at")
+    refunded = orders.where("o_orderkey % 6 = 1 OR o_orderkey % 8 = 0").selectExpr(
+        "o_orderkey AS order_id", "'refunded' AS outcome", at.format(hours="30") + " AS outcome_at")
+    return paid.unionByName(refunded)

@@ -229,6 +229,33 @@ def _stamp(expression: str) -> str:
 _WEEK = "(CAST(ts AS DATE) - CAST(dayofweek(ts) AS INTEGER))"
 _MONTH = "date_trunc('month', ts)"
 
+# A third of the users that have one is user 0.
+_HOT_USER = """CASE WHEN user_id % 29 = 0 THEN NULL WHEN user_id % 3 = 0 THEN 0 ELSE user_id END"""
+
+_SESSIONS = f"""
+WITH visits AS (SELECT 'U' || ({_HOT_USER}) AS "user", ts, event_type = 'view' AS page_view
+                FROM events WHERE user_id % 29 > 0),
+marked AS (SELECT *, coalesce(ts - lag(ts) OVER w > INTERVAL 6 HOURS, true) AS fresh
+           FROM visits WINDOW w AS (PARTITION BY "user" ORDER BY ts)),
+placed AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY "user" ORDER BY ts) AS session FROM marked)
+SELECT "user", strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
+       (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000 AS seconds,
+       sum(page_view::INT)::BIGINT AS page_views, count(*) AS visits
+FROM placed GROUP BY "user", session
+"""
+
+_STATES = """
+created AS (SELECT o_orderkey AS order_id, o_orderdate AS at, o_orderkey AS k,
+                   CAST(o_totalprice AS DECIMAL(18, 2)) AS amount FROM orders),
+timed AS (
+  SELECT *, CASE WHEN k % 4 = 0 OR k % 9 IN (5, 7) THEN NULL ELSE k % 40 END AS pay_hours,
+         CASE WHEN k % 6 = 1 OR k % 8 = 0 THEN 30 END AS refund_hours FROM created),
+states AS (
+  SELECT order_id, amount, CASE WHEN pay_hours IS NULL THEN 'unpaid'
+           WHEN refund_hours >= pay_hours THEN 'refunded' ELSE 'paid' END AS state,
+         (pay_hours * 3600)::BIGINT AS seconds_to_pay FROM timed)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "log_parse": f"""WITH {_LOGS}
 SELECT event_id, ip, s_time, http_host, en, ver, u_ud, u_mid, u_sd, c_time, l, b_iev, b_rst, pl, tt,
@@ -310,6 +337,42 @@ updated AS (SELECT o_custkey AS c_custkey, amount FROM totals)
 SELECT * FROM updated UNION ALL
 SELECT c_custkey, c_acctbal FROM customer c
 WHERE NOT EXISTS (SELECT 1 FROM totals WHERE o_custkey = c.c_custkey)""",
+    "new_users_rollup": f"""WITH {_LOGS}, {_LAUNCHES},
+found AS (SELECT day, platformDimension AS p, nullif(browserDimension, 'unknown:unknown') AS b
+          FROM launches),
+pairs AS (SELECT day, p, b, count(*) AS n FROM found GROUP BY ALL)
+SELECT day, p AS platformDimension, b AS browserDimension, 0::INTEGER AS level, n AS total FROM pairs
+UNION ALL SELECT day, p, 'all', 1, sum(n)::BIGINT FROM pairs GROUP BY day, p
+UNION ALL SELECT day, 'all', b, 2, sum(n)::BIGINT FROM pairs GROUP BY day, b
+UNION ALL SELECT day, 'all', 'all', 3, sum(n)::BIGINT FROM pairs GROUP BY day""",
+    "session_metrics": _SESSIONS,
+    "session_metrics_stream": _SESSIONS,
+    "order_referrer": f"""
+WITH buyers AS (SELECT event_id, date_trunc('hour', ts) AS at, {_HOT_USER} AS user_id
+                FROM events WHERE event_type = 'purchase'),
+referrals AS (SELECT event_id AS tie, date_trunc('hour', ts) AS at, {_HOT_USER} AS user_id,
+                     'ref' || event_id % 7 AS value
+              FROM events WHERE event_type = 'view' AND event_id % 3 > 0)
+SELECT b.event_id, b.user_id, arg_max(value, (r.at, tie)) AS referrer
+FROM buyers AS b LEFT JOIN referrals AS r ON r.user_id = b.user_id AND r.at <= b.at
+GROUP BY b.event_id, b.user_id""",
+    "active_users": f"""
+WITH visits AS (SELECT ts::DATE AS day, {_HOT_USER} AS u FROM events),
+known AS (SELECT * FROM visits WHERE u IS NOT NULL),
+days AS (SELECT DISTINCT day FROM known),
+totals AS (SELECT d.day, count(DISTINCT u) AS total FROM days AS d JOIN known AS k ON k.day <= d.day
+           GROUP BY d.day),
+periods AS (SELECT 'day' AS period, day AS start, * FROM known
+            UNION ALL SELECT 'week', date_trunc('week', day), * FROM known
+            UNION ALL SELECT 'month', date_trunc('month', day), * FROM known)
+SELECT period, strftime(start, '%Y-%m-%d') AS start, count(DISTINCT u) AS active_users,
+       max(total)::BIGINT AS total_users
+FROM periods JOIN totals USING (day) GROUP BY period, start""",
+    "order_states": f"""WITH {_STATES}
+SELECT order_id, state, seconds_to_pay FROM states""",
+    "order_lifecycle": f"""WITH {_STATES}
+SELECT state, count(*) AS orders, sum(amount) AS amount FROM states GROUP BY state
+UNION ALL SELECT 'total', count(*), sum(amount) FROM states""",
     "province_revenue": _REVENUE,
     "csv_revenue": _CSV_REVENUE,
     "order_metrics": """

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from clickweir import schemas, storage, workspace
 from clickweir.functions import dates, geo, network, text
-from clickweir.operators import analytics, enrich, keyed, logs, orders, shaping
+from clickweir.operators import (activity, analytics, asof, enrich, keyed, lifecycle, logs, orders,
+                                 sessions, shaping)
 from clickweir.parity import fixtures
 from clickweir.parity.fixtures import table
 from clickweir.plans import log_etl, new_users, order_etl, order_statistics
 from clickweir.session import configure
 from clickweir.sinks import events as event_sinks
-from clickweir.sinks import routed
+from clickweir.sinks import batches, routed
 from clickweir.sources import events as event_sources
 from clickweir.sources import logs as log_sources
 from clickweir.sources import offsets
@@ -295,6 +296,109 @@ def upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.read_keyed(spark, path)
 
 
+# --- users, sessions and referrers -------------------------------------------------
+
+
+@registered
+def new_users_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over platforms and browsers; an unknown browser is null here."""
+    dimensions = _launch_dimensions(spark, sf_dir)
+    return analytics.new_users_rollup(dimensions.withColumn("browserDimension", F.expr(
+        "nullif(browserDimension, 'unknown:unknown')")))
+
+
+SESSION_GAP = "6 hours"
+# Later than all events: passes every watermark.
+HEARTBEAT = "2030-01-01 00:00:00"
+
+
+def _session_result(found: DataFrame) -> DataFrame:
+    return found.withColumn("session_start", F.date_format(
+        "session_start", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@registered
+def session_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    visits = fixtures.visits(_events(spark, sf_dir))
+    return _session_result(sessions.session_metrics(visits, SESSION_GAP))
+
+
+def _quarters(rows: DataFrame, at: str) -> list[DataFrame]:
+    """Rows by time, in four parts."""
+    low, high = rows.agg(F.unix_micros(F.min(at)), F.unix_micros(F.max(at))).first()
+    quarter = F.least(F.width_bucket(F.unix_micros(at), F.lit(low), F.lit(high), F.lit(4)), F.lit(4))
+    return [rows.where(quarter == k) for k in range(1, 5)]
+
+
+@registered
+def session_metrics_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sessions from a stream that is stopped and resumed after each quarter."""
+    source, closed = workspace.new_dir(spark, "visits"), workspace.new_dir(spark, "sessions")
+    checkpoint = workspace.new_dir(spark, "checkpoint")
+    visits = fixtures.visits(_events(spark, sf_dir))
+    end = visits.limit(1).withColumns({
+        "user": F.lit("heartbeat"), "ts": F.lit(HEARTBEAT).cast("timestamp")})
+    for part in [*_quarters(visits, "ts"), end]:
+        part.write.mode("append").parquet(source)
+        runner.run_query(runner.foreach_batch(
+            sessions.session_metrics(table_stream(spark, source), SESSION_GAP, "1 hour"),
+            batches.store_batches(closed), checkpoint, "append"))
+    return _session_result(batches.read_batches(spark, closed).drop("batch_id"))
+
+
+@registered
+def order_referrer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with the last referrer of its user."""
+    events = _events(spark, sf_dir)
+    return asof.latest_before(fixtures.buyers(events), fixtures.referrals(events)).select(
+        "event_id", F.col("key").alias("user_id"), F.col("value").alias("referrer"))
+
+
+@registered
+def active_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users by day, week and month, from states recorded in two runs."""
+    path = workspace.new_dir(spark, "activity")
+    visits = fixtures.visits(_events(spark, sf_dir)).withColumn("day", F.to_date("ts"))
+    early = F.col("day") < F.lit("2024-01-16").cast("date")
+    for part in (visits.where(early), visits.where(~early)):
+        activity.record(part, path)
+    return activity.activity(activity.daily_states(spark, path)).select(
+        "period", F.date_format("start", "yyyy-MM-dd").alias("start"), "active_users", "total_users")
+
+
+def _joined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lifecycle.with_outcomes(fixtures.created_orders(_orders(spark, sf_dir)),
+                                   fixtures.order_outcomes(_orders(spark, sf_dir)), "2 DAYS")
+
+
+@registered
+def order_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lifecycle.order_states(_joined_orders(spark, sf_dir)).drop("amount")
+
+
+@registered
+def order_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of created, paid and refunded orders from two streams, resumed three times."""
+    names = ("created", "outcomes", "joined", "checkpoint")
+    created, outcomes, joined, checkpoint = (workspace.new_dir(spark, n) for n in names)
+    orders_ = fixtures.created_orders(_orders(spark, sf_dir))
+    results = fixtures.order_outcomes(_orders(spark, sf_dir))
+    at = F.lit(HEARTBEAT).cast("timestamp")
+    beat = F.lit(-1).cast("long")
+    last = (orders_.limit(1).withColumns({"order_id": beat, "created_at": at}),
+            results.limit(1).withColumns({"order_id": beat - 1, "outcome_at": at}))
+    for left, right in [*zip(_quarters(orders_, "created_at"), _quarters(results, "outcome_at")),
+                        last]:
+        left.write.mode("append").parquet(created)
+        right.write.mode("append").parquet(outcomes)
+        runner.run_query(runner.foreach_batch(
+            lifecycle.with_outcomes(table_stream(spark, created), table_stream(spark, outcomes),
+                                    "2 DAYS", "7 DAYS"),
+            batches.store_batches(joined), checkpoint, "append"))
+    states = lifecycle.order_states(batches.read_batches(spark, joined))
+    return lifecycle.state_totals(states.where("order_id >= 0"))
+
+
 # --- orders, batch -----------------------------------------------------------
 
 

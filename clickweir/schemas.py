@@ -25,6 +25,8 @@ PLATFORM_WEBSITE = "website"
 PLATFORM_JAVA_SERVER = "java_server"
 
 UNKNOWN = "unknown"
+# Label of a total over all values of a dimension.
+ALL = "all"
 EVENT_TABLE = "event_logs"
 
 HEADER_COLUMNS = ["ip", "s_time", "http_host"]

@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Sessions of one task are merged before the shuffle.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
