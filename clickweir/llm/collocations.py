@@ -6,8 +6,8 @@ numbers with 0 where a piece ends or a rare word stands, which no frequent phras
 Phrases grow a word a round. A trie of the frequent phrases of k words is broadcast, all
 text positions walk it at once, a level a step, and what follows an accepted position
 whose next position is accepted too is a candidate of k + 1 words: both its parts are
-frequent, so no frequent phrase is missed (Apriori). Candidates that are seen too rarely over all tasks go.
-In the end a trie of all candidates is walked once more; accepting states are counted by
+frequent, so no frequent phrase is missed (Apriori). Candidates that are seen too rarely over
+all tasks go. In the end a trie of all candidates is walked once more; accepting states are counted by
 bincount in each task and the counts are summed. Those sums are the result's counts.
 
 A trie is broadcast in shards of at most ``SHARD_PHRASES`` phrases with their beginnings,
@@ -35,10 +35,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweir.llm.jaccard import slices
 from clickweir.llm.ranks import ranked
 from clickweir.llm.scratch import Scratch
-from clickweir.llm.words import text_bytes
+from clickweir.llm.words import slices, text_bytes
 from clickweir.operators.joins import bounded_broadcast
 from clickweir.workspace import materialized
 
@@ -53,7 +52,11 @@ BLOCK_BYTES = 64 * 1024 * 1024
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Numbers in a stored row, and numbers that walk a trie together.
 ROW_NUMBERS = 1024
-WALK_NUMBERS = 4_000_000
+WALK_NUMBERS = 1_000_000
+# Distinct candidates that a task holds before it hands them on.
+TALLY_KEYS = 4_000_000
+# States whose counts are a row on their way.
+PAGE = 8192
 # Rankings are cut in so many deals before a language comes together.
 DEALS = 64
 
@@ -324,8 +327,34 @@ def tries(phrases: DataFrame) -> Iterator[tuple[DoubleArray, bool]]:
                           rows.column("id").to_numpy()), shards == 1
 
 
-def _summed(frames: list[DataFrame], keys: list[str]) -> DataFrame:
-    return reduce(DataFrame.union, frames).groupBy(*keys).agg(F.sum("seen").alias("seen"))
+class Tally:
+    """Sums by key that stay within ``TALLY_KEYS`` keys: ``add`` yields what is full."""
+
+    def __init__(self):
+        self.keys, self.seen, self.size = [], [], 0
+
+    def add(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        self.keys.append(keys)
+        self.seen.append(np.ones(len(keys), dtype=np.int64))
+        self.size += len(keys)
+        if self.size > TALLY_KEYS:
+            keys, seen = self._combined()
+            # Full of distinct keys, it starts anew.
+            if len(keys) > TALLY_KEYS // 2:
+                yield keys, seen
+                keys, seen = keys[:0], seen[:0]
+            self.keys, self.seen, self.size = [keys], [seen], len(keys)
+
+    def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if self.size:
+            yield self._combined()
+
+    def _combined(self) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.concatenate(self.keys)
+        order = np.argsort(keys, kind="stable")
+        keys, seen = keys[order], np.concatenate(self.seen)[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+        return keys[first], np.add.reduceat(seen, first) if len(first) else seen
 
 
 def extensions(texts: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -333,9 +362,17 @@ def extensions(texts: DataFrame, phrases: DataFrame) -> DataFrame:
 
     def follower(shared, only: bool, longest: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            trie = shared.value
+            trie, tally = shared.value, Tally()
+
+            def rows(keys: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(trie.name[keys >> 32], pa.int64()),
+                     pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(seen)],
+                    names=["id", "symbol", "seen"])
+
             for numbers in _gathered(batches):
-                at, states = list(trie.walk(numbers))[longest - 1]
+                for at, states in trie.walk(numbers):
+                    pass
                 # Rows end in 0, so something follows every place.
                 following = numbers[at + longest]
                 able = following > 0
@@ -343,12 +380,10 @@ def extensions(texts: DataFrame, phrases: DataFrame) -> DataFrame:
                     accepted = np.zeros(len(numbers) + 1, dtype=bool)
                     accepted[at] = True
                     able &= accepted[at + 1]
-                keys, seen = np.unique(
-                    (states[able].astype(np.int64) << 32) | following[able], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(trie.name[keys >> 32], pa.int64()),
-                     pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(seen, pa.int64())],
-                    names=["id", "symbol", "seen"])
+                for full in tally.add((states[able].astype(np.int64) << 32) | following[able]):
+                    yield rows(*full)
+            for full in tally.rest():
+                yield rows(*full)
 
         return run
 
@@ -358,7 +393,7 @@ def extensions(texts: DataFrame, phrases: DataFrame) -> DataFrame:
             shared = texts.sparkSession.sparkContext.broadcast(trie)
             frames.append(texts.mapInArrow(follower(shared, only, trie.longest),
                                            "id long, symbol int, seen long"))
-    return _summed(frames, ["id", "symbol"])
+    return reduce(DataFrame.union, frames).groupBy("id", "symbol").agg(F.sum("seen").alias("seen"))
 
 
 def trie_counts(texts: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -371,16 +406,30 @@ def trie_counts(texts: DataFrame, phrases: DataFrame) -> DataFrame:
             for numbers in _gathered(batches):
                 for _, states in trie.walk(numbers):
                     sums += np.bincount(states, minlength=len(sums))
-            states = np.flatnonzero((sums > 0) & (trie.name >= 0))
+            # A page of sums is a row, whatever the number of phrases in it.
+            pages = [(k, sums[at:at + PAGE].tobytes()) for k, at in enumerate(
+                range(0, len(sums), PAGE)) if sums[at:at + PAGE].any()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(trie.name[states], pa.int64()), pa.array(sums[states])],
-                names=["id", "seen"])
+                [pa.array([k for k, _ in pages], pa.int32()),
+                 pa.array([x for _, x in pages], pa.binary())], names=["page", "sums"])
 
         return run
 
-    return _summed([
-        texts.mapInArrow(counter(texts.sparkSession.sparkContext.broadcast(trie)),
-                         "id long, seen long") for trie, _ in tries(phrases)], ["id"])
+    def adder(shared):
+        def run(table: pa.Table) -> pa.Table:
+            names = shared.value.name[table.column("page")[0].as_py() * PAGE:][:PAGE]
+            total = sum(np.frombuffer(x.as_py(), np.int64) for x in table.column("sums"))
+            used = np.flatnonzero((total > 0) & (names >= 0))
+            return pa.table({"id": pa.array(names[used]), "seen": pa.array(total[used])})
+
+        return run
+
+    frames = []
+    for trie, _ in tries(phrases):
+        shared = texts.sparkSession.sparkContext.broadcast(trie)
+        frames.append(texts.mapInArrow(counter(shared), "page int, sums binary").groupBy(
+            "page").applyInArrow(adder(shared), "id long, seen long"))
+    return reduce(DataFrame.union, frames)
 
 
 def frequent_phrases(texts: DataFrame, symbols: DataFrame, longest: int, min_count: int,

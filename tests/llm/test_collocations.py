@@ -70,9 +70,12 @@ def test_whole_documents_at_a_low_count(spark):
     assert len(check(spark, rows, 6)) > 50
 
 
-@pytest.mark.parametrize("shard, block, walk", [
-    (1_000_000, 1 << 26, 4_000_000), (40, 300, 500)])
-def test_shards_blocks_and_small_steps_give_the_same(spark, monkeypatch, shard, block, walk):
+@pytest.mark.parametrize("shard, block, walk, page", [
+    (1_000_000, 1 << 26, 4_000_000, 8192), (40, 300, 500, 16)])
+def test_shards_blocks_and_small_steps_give_the_same(
+        spark, monkeypatch, shard, block, walk, page):
+    monkeypatch.setattr(collocations, "PAGE", page)
+    monkeypatch.setattr(collocations, "TALLY_KEYS", walk)
     monkeypatch.setattr(collocations, "SHARD_PHRASES", shard)
     monkeypatch.setattr(collocations, "BLOCK_BYTES", block)
     monkeypatch.setattr(collocations, "WALK_NUMBERS", walk)
