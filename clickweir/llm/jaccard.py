@@ -13,13 +13,14 @@ class from the start.
 ``FRAGMENTS`` fixed fragments, the partial overlaps are counted there, and their sum
 decides.
 
-Inside a bucket no all-pairs list is made. Some members at a time are centers and meet the
-members of other components; what is linked becomes one component and needs no more tests.
-Rounds go on until no bucket has members of two components that have not met. Buckets that
-are still open and crowded then are cut by the rarest n-grams: similar sets also share one
+Members of crowded buckets meet by their rarest n-grams instead: similar sets also share one
 of their first n - ceil(n * similarity) + 1 in any one order, here by how often n-grams
-occur, so a passage that many dissimilar documents share brings none of them together.
-Neither step loses a link.
+occur in these sets, so what very many dissimilar documents share brings none of them
+together. Inside a bucket no all-pairs list is made. First each member meets the least
+member that any of its buckets has; then some members at a time are centers and meet the
+members of other components. What is linked becomes one component and needs no more tests.
+Rounds go on until no bucket has members of two components that have not met, so no link
+is lost.
 
 Defined results: a text without words (null, empty, blank) has no n-grams and is linked with
 nothing; a shorter text than the n-gram is one. A row is judged by its own text, so rows of
@@ -34,12 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweir.llm.components import components
 from clickweir.llm.scratch import Scratch
-from clickweir.llm.words import distinct_sorted, mixed, shingle_hashes, text_bytes, word_hashes
+from clickweir.llm.words import distinct_sorted, mixed, shingle_hashes, slices, text_bytes, word_hashes
 from clickweir.operators.joins import bounded_broadcast
 from clickweir.workspace import materialized
 
@@ -47,28 +48,17 @@ GRAM = 3
 # Linked if 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 90
 # Fragments in which overlaps are counted.
-FRAGMENTS = 8
-# Open buckets of more members are cut by rare n-grams from the third round on.
+FRAGMENTS = 4
+# Members of larger buckets meet by rare n-grams.
 CROWD = 32
-# Counters for how often n-grams occur.
-COUNTERS = 1 << 16
+# Counters for how often n-grams occur in crowded sets, and how many are a row on their way.
+COUNTERS = 1 << 20
+PAGE = 1 << 14
 # Buckets of more members are dealt to several tasks, about so many in each.
 DEAL = 512
 MORE_CENTERS = 8
 # Lists up to this size are broadcast, larger ones are joined by shuffling.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Texts are hashed in slices of about so many bytes, or one longer text.
-SLICE_BYTES = 4 * 1024 * 1024
-
-
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``SLICE_BYTES`` of text each."""
-    _, offsets = text_bytes(batch.column(column))
-    at = 0
-    while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
-        yield batch.slice(at, to - at)
-        at = to
 
 
 def _sets(column: pa.Array, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,31 +151,30 @@ def fragments(docs: DataFrame, text: str, gram: int) -> DataFrame:
     return docs.select(text).mapInArrow(run, "digest binary, fragment int, grams array<long>")
 
 
-def _occurrences(docs: DataFrame, text: str, gram: int) -> np.ndarray:
+def _occurrences(texts: DataFrame, text: str, gram: int) -> np.ndarray:
     """How many of the sets have n-grams that fall on each counter, summed page by page."""
-    page = COUNTERS // 64
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(COUNTERS, dtype=np.int64)
         for whole in batches:
             for batch in slices(whole, 0):
                 values, _ = _sets(batch.column(0), gram)
-                sums += np.bincount((values % np.uint64(COUNTERS)).astype(np.int64),
-                                    minlength=COUNTERS)
-        pages = [k for k in range(64) if sums[k * page:(k + 1) * page].any()]
+                np.add.at(sums, (values % np.uint64(COUNTERS)).astype(np.int64), 1)
+        pages = [(k, sums[at:at + PAGE].tobytes()) for k, at in enumerate(
+            range(0, COUNTERS, PAGE)) if sums[at:at + PAGE].any()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(pages, pa.int32()),
-             pa.array([sums[k * page:(k + 1) * page].tobytes() for k in pages], pa.binary())],
-            names=["page", "sums"])
+            [pa.array([k for k, _ in pages], pa.int32()),
+             pa.array([x for _, x in pages], pa.binary())], names=["page", "sums"])
 
     def added(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x.as_py(), np.int64) for x in table.column("sums"))
         return pa.table({"page": table.column("page")[:1], "sums": pa.array([total.tobytes()])})
 
     counts = np.zeros(COUNTERS, dtype=np.int64)
-    for row in docs.select(text).mapInArrow(counted, "page int, sums binary").groupBy(
+    for row in texts.select(text).mapInArrow(counted, "page int, sums binary").groupBy(
             "page").applyInArrow(added, "page int, sums binary").collect():
-        counts[row["page"] * page:(row["page"] + 1) * page] = np.frombuffer(row["sums"], np.int64)
+        sums = np.frombuffer(row["sums"], np.int64)
+        counts[row["page"] * PAGE:row["page"] * PAGE + len(sums)] = sums
     return counts
 
 
@@ -219,6 +208,10 @@ def _least(members: DataFrame, group: list[str], n: int) -> DataFrame:
         F.col("rank") <= n).drop("rank")
 
 
+def _deal() -> Column:
+    return F.pmod(F.xxhash64("node"), F.col("deals"))
+
+
 class _Join:
     """One run of the join: its tables and the rounds over them."""
 
@@ -226,25 +219,36 @@ class _Join:
                  scratch: Scratch):
         self.docs, self.id, self.text = docs, id_, text
         self.gram, self.similarity, self.scratch = gram, similarity, scratch
-        self.rows = scratch.keep(described(docs, id_, text, gram, similarity), "described")
-        # A class per set. Rows with its smallest id show the set, wherever it is needed.
+        self.rows = scratch.keep(described(docs, id_, text, gram, similarity).withColumn(
+            "row", F.monotonically_increasing_id()), "described")
+        # A class per set, named by one of its stored rows. Rows of the table with the
+        # class's smallest id show its text again.
         self.classes = scratch.keep(
             self.rows.where("n > 0").groupBy("digest").agg(
-                F.min("id").alias("holder"), F.first("n").alias("n")).withColumn(
-                "node", F.monotonically_increasing_id()), "classes")
+                F.min("id").alias("holder"), F.first("n").alias("n"),
+                F.min("row").alias("node")), "classes")
 
     def members(self) -> DataFrame:
-        """(bucket, node, n) of buckets with several sets, and ``deals`` of crowded ones."""
-        shown = self.rows.where("n > 0").select("id", "digest", "buckets").join(
-            self.classes, "digest").where(F.col("id").eqNullSafe(F.col("holder")))
-        every = shown.select(F.explode("buckets").alias("bucket"), "node", "n")
-        # Copies of a set may show it several times; its least and largest node tell.
-        sizes = self.scratch.keep(every.groupBy("bucket").agg(
-            F.min("node").alias("low"), F.max("node").alias("high"),
-            F.count(F.lit(1)).alias("size")).where("low < high").select(
-            "bucket", F.ceil(F.col("size") / DEAL).cast("int").alias("deals"), "size"), "sizes")
-        return self.scratch.keep(every.join(
-            bounded_broadcast(sizes, BROADCAST_BYTES), "bucket").distinct(), "members")
+        """(bucket, node, n, deals) of buckets with several sets, crowded ones replaced."""
+        nodes = self.scratch.keep(self.classes.select(F.col("node").alias("row")), "nodes")
+        every = self.rows.select("row", "n", "buckets").join(
+            bounded_broadcast(nodes, BROADCAST_BYTES), "row", "left_semi").select(
+            F.explode("buckets").alias("bucket"), F.col("row").alias("node"), "n")
+        members = self._in_company(every, "members")
+        crowded = self.scratch.keep(members.where(F.col("size") > CROWD).select(
+            "node", "n").distinct(), "crowded")
+        members = members.where(F.col("size") <= CROWD)
+        if not crowded.isEmpty():
+            members = members.unionByName(self._in_company(self.by_rare_grams(crowded), "rare"))
+        return members.drop("size")
+
+    def _in_company(self, members: DataFrame, label: str) -> DataFrame:
+        """The members of buckets that have several, with the size and number of deals."""
+        sizes = self.scratch.keep(members.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("size")).where("size > 1").withColumn(
+            "deals", F.ceil(F.col("size") / DEAL).cast("int")), f"{label}-sizes")
+        return self.scratch.keep(
+            members.join(bounded_broadcast(sizes, BROADCAST_BYTES), "bucket"), label)
 
     def texts(self, nodes: DataFrame) -> DataFrame:
         """The texts of the rows that show the sets of ``nodes``, and maybe some more."""
@@ -288,71 +292,61 @@ class _Join:
             100 * F.col("common") >= self.similarity * (F.col("sizes") - F.col("common"))).select(
             "a", "b")
 
-    def cut_by_rare_grams(self, waiting: DataFrame) -> DataFrame:
-        """Members of crowded buckets in finer ones, a bucket and a rare n-gram each."""
-        crowded = waiting.where(F.col("size") > CROWD)
-        if crowded.isEmpty():
-            return waiting
-        nodes = self.scratch.keep(crowded.select("node").distinct(), "crowded")
-        counts = _occurrences(self.docs, self.text, self.gram)
+    def by_rare_grams(self, crowded: DataFrame) -> DataFrame:
+        """(bucket, node, n): a bucket for each rare n-gram of the sets in ``crowded``."""
+        nodes = crowded.select("node")
+        texts = self.texts(nodes)
+        counts = _occurrences(texts, "_text", self.gram)
         named = self.scratch.keep(self.classes.join(
             bounded_broadcast(nodes, BROADCAST_BYTES), "node", "left_semi").select(
-            "digest", "node"), "named")
-        grams = self.scratch.keep(
-            rare_grams(self.texts(nodes), "_text", self.gram, self.similarity, counts).join(
-                bounded_broadcast(named, BROADCAST_BYTES), "digest").select(
-                "node", "gram").distinct(), "rare")
-        # Rare n-grams that one set alone has of all crowded ones bring nothing together.
-        common = self.scratch.keep(grams.groupBy("gram").agg(
-            F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select(
-            "gram"), "common")
-        grams = self.scratch.keep(grams.join(
-            bounded_broadcast(common, BROADCAST_BYTES), "gram", "left_semi"), "shared")
-        finer = self.scratch.keep(crowded.drop("size", "deals").join(grams, "node").withColumn(
-            "bucket", F.xxhash64("bucket", "gram")).drop("gram").distinct(), "finer")
-        sizes = self.scratch.keep(finer.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("size")).where("size > 1").withColumn(
-            "deals", F.ceil(F.col("size") / DEAL).cast("int")), "finer-sizes")
-        return self.scratch.keep(
-            waiting.where(F.col("size") <= CROWD).unionByName(
-                finer.join(bounded_broadcast(sizes, BROADCAST_BYTES), "bucket")), "cut")
+            "digest", "node", "n"), "named")
+        # Repeated rows show a set several times.
+        return rare_grams(texts, "_text", self.gram, self.similarity, counts).join(
+            bounded_broadcast(named, BROADCAST_BYTES), "digest").select(
+            F.col("gram").alias("bucket"), "node", "n").distinct()
 
     def linked(self) -> DataFrame | None:
         """(u, label) of the nodes that have links; None without any."""
-        waiting = self.members().withColumn("label", F.col("node"))
-        links, labels, tested, centers, turn = None, None, None, 1, 0
+        waiting = self.scratch.keep(
+            self.members().withColumn("label", F.col("node")), "waiting")
+        links, labels, tested, centers = None, None, None, 0
         while not waiting.isEmpty():
-            if turn == 2:
-                waiting = self.cut_by_rare_grams(waiting)
-            found, tested, chosen = self._round(waiting, centers, tested)
+            chosen = self._centers(waiting, max(centers, 1))
+            pairs = self._pairs(waiting, chosen)
+            if not centers:
+                # To begin with, one pair for each member.
+                pairs = pairs.groupBy("b").agg(F.min(F.struct("a", "sizes")).alias("least")).select(
+                    "least.a", "b", "least.sizes")
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = self.scratch.keep(pairs, "pairs")
+            found = self.scratch.keep(self.confirmed(pairs), "links")
             links = found if links is None else links.union(found)
+            now = pairs.select("a", "b")
+            tested = now if tested is None else tested.union(now)
             if not found.isEmpty():
                 labels = components(links, self.scratch)
-            waiting = self._still_open(waiting, chosen, labels)
-            centers, turn = centers * MORE_CENTERS, turn + 1
+            waiting = self._still_open(waiting, chosen if centers else chosen.limit(0), labels)
+            centers = centers * MORE_CENTERS or 1
         return labels
 
-    def _round(self, waiting: DataFrame, centers: int, tested: DataFrame | None) -> tuple[
-            DataFrame, DataFrame, DataFrame]:
-        """Links between centers and other members, all pairs tested so far, the centers."""
-        dealt = waiting.withColumn("deal", F.pmod(F.xxhash64("node"), F.col("deals")))
-        chosen = self.scratch.keep(
+    def _centers(self, waiting: DataFrame, centers: int) -> DataFrame:
+        """The least members of each bucket."""
+        dealt = waiting.withColumn("deal", _deal())
+        return self.scratch.keep(
             _least(_least(dealt, ["bucket", "deal"], centers), ["bucket"], centers).select(
                 "bucket", F.col("node").alias("a"), F.col("label").alias("label_a"),
                 F.col("n").alias("n_a"), "deals"), "centers")
+
+    def _pairs(self, waiting: DataFrame, chosen: DataFrame) -> DataFrame:
+        """(a, b, sizes): centers with later members of other components, if of fitting size."""
         everywhere = chosen.withColumn("deal", F.explode(F.sequence(
             F.lit(0).cast("long"), F.col("deals").cast("long") - 1))).drop("deals")
         small, large = F.least("n", "n_a"), F.greatest("n", "n_a")
-        pairs = dealt.join(everywhere, ["bucket", "deal"]).where(
+        return waiting.withColumn("deal", _deal()).join(everywhere, ["bucket", "deal"]).where(
             (F.col("a") < F.col("node")) & (F.col("label_a") != F.col("label"))
             & (100 * small >= self.similarity * large)).select(
             "a", F.col("node").alias("b"), (F.col("n") + F.col("n_a")).alias("sizes")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = self.scratch.keep(pairs, "pairs")
-        found = self.scratch.keep(self.confirmed(pairs), "links")
-        now = pairs.select("a", "b")
-        return found, now if tested is None else tested.union(now), chosen
 
     def _still_open(self, waiting: DataFrame, chosen: DataFrame,
                     labels: DataFrame | None) -> DataFrame:

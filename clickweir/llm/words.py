@@ -13,6 +13,8 @@ import pyarrow as pa
 
 # Bytes that are hashed together; bounds the helper arrays.
 CHUNK = 1 << 19
+# Texts are handled in slices of about so many bytes, or one longer text.
+SLICE_BYTES = 4 * 1024 * 1024
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -64,6 +66,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held, offsets
 
 
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``SLICE_BYTES`` of text each."""
+    _, offsets = text_bytes(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def _cuts(data: np.ndarray, offsets: np.ndarray, spaces: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of about ``CHUNK`` bytes that end where no word goes on."""
     at, end = int(offsets[0]), int(offsets[-1])
