@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that start inside hand at most ``rows`` rows at once to Python."""
+    before = spark.conf.get(_ARROW_ROWS)
+    spark.conf.set(_ARROW_ROWS, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS, before)
+
 
 def shielded(df: DataFrame) -> tuple[DataFrame, list[str]]:
     """``df`` under positional names, so that no helper column can clash with one of it."""

@@ -17,7 +17,9 @@ probability 5e-6.
 
 Defined results: a text without words (null, empty, blank) has no shingles and is linked
 with nothing; a shorter text than the shingle is one shingle. Rows with the same id are
-one document. A row with a null id belongs to its exact copies, and is kept only without any.
+one document. A row with a null id belongs to its exact copies. ``keep_one`` leaves one row of
+each component, also of repeated rows and of exact copies without an id; near copies without
+an id are not linked and stay.
 """
 
 from __future__ import annotations
@@ -32,8 +34,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweir.llm.components import components
+from clickweir.llm.frames import position, shielded, small_batches
 from clickweir.llm.scratch import Scratch
-from clickweir.llm.words import (distinct_sorted, mixed, shingle_hashes, text_bytes,
+from clickweir.llm.words import (distinct_sorted, mixed, shingle_hashes, slices, text_bytes,
                                  word_hashes)
 from clickweir.operators.joins import bounded_broadcast
 from clickweir.workspace import materialized
@@ -50,6 +53,8 @@ COUNTERS = 1 << 16
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Centers per bucket grow by this factor each round.
 MORE_CENTERS = 8
+# Rows that Python gets at once; bounds its memory beside Spark's.
+BATCH_ROWS = 1000
 _BLOCK = 1 << 15
 
 
@@ -117,17 +122,12 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64)))
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
-
-
 def signed(docs: DataFrame, id_: str, text: str, shingle: int = SHINGLE) -> DataFrame:
-    """(id, n_shingles, digest of the set, bands) of each document."""
+    """(id, n_shingles, digest of the set, bands, content) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _slices(whole):
+            for batch in slices(whole, 1):
                 values, bounds = _sets(batch.column(1), shingle)
                 n = np.diff(bounds)
                 full = np.flatnonzero(n > 0)
@@ -141,19 +141,25 @@ def signed(docs: DataFrame, id_: str, text: str, shingle: int = SHINGLE) -> Data
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
                     _lists(hashes[full].ravel(), np.concatenate([[0], np.cumsum(counts)])),
-                ], names=["id", "n_shingles", "digest", "bands"])
+                    batch.column(2),
+                ], names=["id", "n_shingles", "digest", "bands", "content"])
 
     kind = docs.schema[id_].dataType.simpleString()
-    return docs.select(id_, text).mapInArrow(
-        run, f"id {kind}, n_shingles long, digest binary, bands array<long>")
+    return docs.select(id_, text, F.xxhash64(text)).mapInArrow(
+        run, f"id {kind}, n_shingles long, digest binary, bands array<long>, content long")
 
 
 def shingle_sets(docs: DataFrame, id_: str, text: str, shingle: int = SHINGLE) -> DataFrame:
     """(id, shingles): the distinct shingle hashes of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for whole in batches:
-            for batch in _slices(whole):
+            for batch in slices(whole, 1):
+                # Repeated rows of an id are one document.
+                new = [k for k, x in enumerate(batch.column(0).to_pylist())
+                       if not (x in seen or seen.add(x))]
+                batch = batch.take(pa.array(new, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), _lists(*_sets(batch.column(1), shingle))],
                     names=["id", "shingles"])
@@ -250,9 +256,16 @@ def linked(docs: DataFrame, representatives: DataFrame, id_: str, text: str, scr
     members = scratch.keep(_in_company(exploded), "members")
     ids = scratch.keep(members.select("id").distinct(), "ids")
     wanted = bounded_broadcast(ids.withColumnRenamed("id", id_), BROADCAST_BYTES)
-    sets = scratch.keep(
-        shingle_sets(docs.join(wanted, id_, "left_semi"), id_, text, shingle)
-        .dropDuplicates(["id"]), "sets")
+    shown = scratch.keep(
+        shingle_sets(docs.join(wanted, id_, "left_semi"), id_, text, shingle).withColumn(
+            "row", F.monotonically_increasing_id()), "sets")
+    # Only narrow columns tell which rows show a document once more in another task.
+    several = scratch.keep(shown.groupBy("id").agg(
+        F.min("row").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1"), "several")
+    again = scratch.keep(shown.select("id", "row").join(
+        bounded_broadcast(several, BROADCAST_BYTES), "id").where("row > first").select("row"),
+        "again")
+    sets = shown.join(bounded_broadcast(again, BROADCAST_BYTES), "row", "left_anti").drop("row")
     crowd = scratch.keep(members.where(F.col("members") > CROWD).select("id").distinct(), "crowd")
     waiting = members.where(F.col("members") <= CROWD).drop("members")
     if not crowd.isEmpty():
@@ -295,34 +308,62 @@ def linked(docs: DataFrame, representatives: DataFrame, id_: str, text: str, scr
         centers *= MORE_CENTERS
 
 
-def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text",
-                    shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
-    """Per row of ``docs``: its id, n_shingles, component_id and kept."""
+def _found(docs: DataFrame, id_: str, text: str, shingle: int, similarity: int) -> DataFrame:
+    """(id, n_shingles, digest, content, component_id) of each row, stored."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
-    signs = scratch.keep(signed(docs, id_, text, shingle), "signatures")
-    classes = scratch.keep(
-        signs.where("n_shingles > 0 AND id IS NOT NULL").groupBy("digest").agg(
-            F.min("id").alias("representative")), "classes")
-    chosen = signs.where("n_shingles > 0").join(
-        classes.select(F.col("representative").alias("id")).distinct(), "id", "left_semi"
-    ).select("id", "n_shingles", "bands")
-    labels = linked(docs, chosen, id_, text, scratch, shingle, similarity)
-    rooted = classes.join(
-        labels.withColumnRenamed("u", "representative"), "representative", "left"
-    ).select("digest", F.coalesce("label", "representative").alias("component_id"))
-    found = signs.select("id", "n_shingles", "digest").join(rooted, "digest", "left").withColumn(
-        "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(
-            F.col("id")))
-    kept = F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull())
-    result = materialized(found.select(
-        F.col("id").alias(id_), "n_shingles", "component_id", kept.alias("kept")), "near-duplicates")
+    with small_batches(spark, BATCH_ROWS):
+        signs = scratch.keep(signed(docs, id_, text, shingle), "signatures")
+        classes = scratch.keep(
+            signs.where("n_shingles > 0 AND id IS NOT NULL").groupBy("digest").agg(
+                F.min("id").alias("representative")), "classes")
+        chosen = signs.where("n_shingles > 0").join(
+            classes.select(F.col("representative").alias("id")).distinct(), "id", "left_semi"
+        ).select("id", "n_shingles", "bands")
+        labels = linked(docs, chosen, id_, text, scratch, shingle, similarity)
+        rooted = classes.join(
+            labels.withColumnRenamed("u", "representative"), "representative", "left"
+        ).select("digest", F.coalesce("label", "representative").alias("component_id"))
+        found = signs.select("id", "n_shingles", "digest", "content").join(
+            rooted, "digest", "left").withColumn("component_id", F.when(
+                F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))
+        result = materialized(found, "near-duplicates")
     scratch.close()
     return result
 
 
+def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text",
+                    shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
+    """Per row of ``docs``: its id, n_shingles, component_id and kept."""
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull())
+    return _found(docs, id_, text, shingle, similarity).select(
+        F.col("id").alias(id_), "n_shingles", "component_id", kept.alias("kept"))
+
+
 def keep_one(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that a smaller id of their component stands for."""
-    gone = near_duplicates(docs, id_, text).where("NOT kept").select(id_).distinct()
-    return docs.join(bounded_broadcast(gone, BROADCAST_BYTES), id_, "left_anti").select(
-        *docs.columns)
+    """``docs`` with one row of each component, that of the smallest id, and of each wordless row."""
+    found = _found(docs, id_, text, SHINGLE, SIMILARITY).where("n_shingles > 0")
+    # Copies that all lack an id have no component but their set.
+    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("digest")))
+    keepers = materialized(found.groupBy(group.alias("group")).agg(F.min(F.struct(
+        F.col("id").isNull(), F.col("id").alias("id"), F.col("content").alias("content"))).alias(
+        "keeper")).select(F.col("keeper.id").alias("_id"), F.col("keeper.content").alias("_content")),
+        "keepers")
+    rows = found.groupBy(F.col("id").alias("_id"), F.col("content").alias("_content")).agg(
+        F.count(F.lit(1)).alias("_times"))
+    mine = ["_id", "_content"]
+    same = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_content") == F.col("_content2"))
+    judged = materialized(rows.join(
+        keepers.toDF("_id2", "_content2"), same, "left").select(
+        *mine, "_times", F.col("_content2").isNotNull().alias("_kept")), "judged")
+    named, names = shielded(docs)
+    key, body = position(docs, id_), position(docs, text)
+    of = F.col(key).eqNullSafe(F.col("_id")) & (F.xxhash64(body) == F.col("_content"))
+    gone = judged.where("NOT _kept").select(*mine)
+    left = named.join(bounded_broadcast(gone, BROADCAST_BYTES), of, "left_anti")
+    repeated = judged.where("_kept AND _times > 1").select(*mine)
+    if not repeated.isEmpty():
+        again = bounded_broadcast(repeated, BROADCAST_BYTES)
+        left = left.join(again, of, "left_anti").unionByName(
+            left.join(again, of, "left_semi").dropDuplicates([key, body]))
+    return left.toDF(*docs.columns)

@@ -91,7 +91,7 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     kept = minhash.keep_one(frame)
     assert kept.columns == frame.columns
     assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == [
-        (0, "alone here"), (0, "same text"), (5, "same text"), (5, "same text")]
+        (0, "alone here"), (5, "same text")]
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
@@ -128,3 +128,14 @@ def test_components_of_chains_stars_and_cycles(spark):
     scratch.close()
     assert labels == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)},
                       200: 200, 201: 200, 202: 200}
+
+
+def test_keep_one_leaves_one_row_of_each_component(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(5, text), (5, text), (7, text), (9, text + " end"), (None, text), (None, "a b"),
+            (None, "a b"), (3, None), (3, None), (4, "other words")]
+    docs = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], SCHEMA).repartition(3)
+    left = minhash.keep_one(docs)
+    assert left.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(
+        [(5, text), (None, "a b"), (3, None), (3, None), (4, "other words")], key=str)
