@@ -11,7 +11,8 @@ jumping from offset 0 of every file doubles the reached distance each round; can
 that are never reached are payload, and are joined to the record that holds them.
 
 Payloads stay in the task that reads them. Only offsets are shuffled, and the pieces of
-records that were cut by a false candidate.
+records that were cut by a false candidate. These are read a second time and known again
+by the digest of their bytes, so neither scan depends on how the other was split.
 
 Defined results: a null payload is written as an empty one; equal payloads of at least
 ``min_bytes`` are stored once, with the largest key, and others refer to it; a null url
@@ -195,10 +196,13 @@ def read_archive(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
         "file", "split", "n", "length", "lead", "block_start", "block_length", "header",
         F.when(whole, F.octet_length(_payload_columns(F.col("block"))["payload"])).alias("bytes"),
         F.when(whole, base32_sha1(_payload_columns(F.col("block"))["payload"])).alias("digest"),
-        whole.alias("whole"))
-    located = scratch.keep(_located(narrow).withColumn(
+        whole.alias("whole"), F.sha1("data").alias("content"))
+    # Numbers of one scan never meet those of another: it is written before it is used twice.
+    scanned = scratch.keep(narrow, "warc-scan")
+    located = scratch.keep(_located(scanned).withColumn(
         "successor", F.col("at") + F.col("lead") + F.col("block_start") - 1
-        + F.col("block_length") + len(RECORD_END)), "warc-pieces")
+        + F.col("block_length") + len(RECORD_END)).drop("split", "n"), "warc-pieces")
+    scratch.drop(scanned)
     chain = reachable(located.select("file", "at", "successor"), scratch)
     records = located.join(chain, ["file", "at"])
     cut = records.where("block_length IS NOT NULL AND NOT coalesce(whole, false)").select(
@@ -228,11 +232,11 @@ def read_archive(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
 def _rejoined(spark: SparkSession, path: str, located: DataFrame, cut: DataFrame) -> DataFrame:
     """Payload bytes and digest of records that false candidates cut into pieces.
 
-    Of the archive only the pieces inside such records are read again; they are put
-    together in the order of their offsets. A record bounds what one row gathers.
+    Of the archive only the pieces inside such records are read again, one of each content;
+    they are put together in the order of their offsets. A record bounds what one row gathers.
     """
     owners = Window.partitionBy("file").orderBy("at", F.col("record_at").isNull())
-    marks = located.select("file", "n", "at").join(
+    marks = located.select("file", "at", "content").join(
         cut.select("file").distinct(), "file", "left_semi")
     owned = marks.join(
         cut.select("file", F.col("record_at").alias("at"), "record_at", "successor"),
@@ -240,9 +244,11 @@ def _rejoined(spark: SparkSession, path: str, located: DataFrame, cut: DataFrame
     ).withColumns({
         "record_at": F.last("record_at", True).over(owners),
         "until": F.last("successor", True).over(owners),
-    }).where("record_at IS NOT NULL AND at < until").select("file", "n", "at", "record_at")
-    data = _pieces(spark, path).select("file", "n", "data").join(owned, ["file", "n"])
-    gathered = data.groupBy("file", "record_at").agg(
+    }).where("record_at IS NOT NULL AND at < until").select("file", "at", "content", "record_at")
+    wanted = owned.select("content").distinct()
+    data = _pieces(spark, path).select(F.sha1("data").alias("content"), "data").join(
+        wanted, "content", "left_semi").dropDuplicates(["content"])
+    gathered = owned.join(data, "content").groupBy("file", "record_at").agg(
         F.sort_array(F.collect_list(F.struct("at", "data"))).alias("parts"))
     whole = F.aggregate(
         F.slice("parts", 2, F.size("parts")), F.get("parts", 0)["data"],

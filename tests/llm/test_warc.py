@@ -73,6 +73,26 @@ def test_small_splits_and_random_magic(spark, split):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_scans_that_split_the_archive_differently(spark, monkeypatch):
+    rng = random.Random(5)
+    pages = [(i, "u", f"page {i} " + FAKE * (i % 3) + "y" * rng.randrange(300))
+             for i in range(90)]
+    name = "spark.sql.files.maxPartitionBytes"
+    before, rejoined, sizes = spark.conf.get(name), warc._rejoined, []
+
+    def other_splits(*args):
+        sizes.append(spark.conf.get(name))
+        spark.conf.set(name, 5000)
+        return rejoined(*args)
+
+    monkeypatch.setattr(warc, "_rejoined", other_splits)
+    try:
+        check(spark, pages)
+    finally:
+        spark.conf.set(name, before)
+    assert sizes == [before]
+
+
 def test_truncated_file_keeps_whole_records(spark, scratch, tmp_path):
     frame = spark.createDataFrame([(1, "u", "one"), (2, "u", "two")], "page_id long, url string, "
                                   "html string").coalesce(1)
