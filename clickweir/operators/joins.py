@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import heapq
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # A side is broadcast only when it was measured and stays below this size.
 BROADCAST_BYTES = 256 * 1024 * 1024
 # Longest candidate list one probe may meet in the broadcast range join.
 BUCKET_RANGES = 1_024
 BUCKET_BITS = 16
+ADDRESS_BITS = 32
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -57,52 +54,89 @@ def overlapping_ranges(ranges: DataFrame, begin: str, end: str) -> DataFrame:
     )
 
 
+def _rank(width: Column, begin: Column) -> Column:
+    """A long whose order is by width and then begin; it names one extent of the address space."""
+    return F.shiftleft(width - F.lit(1 << 31), 32).bitwiseOR(begin)
+
+
+def covering_prefixes(ranges: DataFrame, begin: str, end: str) -> DataFrame:
+    """(_prefix, _rank): for every binary prefix that a range is made of, its narrowest range.
+
+    A range of 32-bit numbers is a union of at most 62 aligned blocks; a block of 2^k numbers
+    is the prefix k * 2^33 + number / 2^k.
+    """
+    low, high = f"{begin} + shiftleft(1L, k) - 1", f"{end} + 1"
+    blocks = f"""
+        flatten(transform(sequence(0, {ADDRESS_BITS}), k -> filter(array(
+            IF(shiftright({low}, k) < shiftright({high}, k) AND shiftright({low}, k) % 2 = 1,
+               shiftleft(CAST(k AS BIGINT), 33) + shiftright({low}, k), NULL),
+            IF(shiftright({low}, k) < shiftright({high}, k) AND shiftright({high}, k) % 2 = 1,
+               shiftleft(CAST(k AS BIGINT), 33) + shiftright({high}, k) - 1, NULL)
+        ), x -> x IS NOT NULL)))"""
+    return ranges.select(
+        F.explode(F.expr(blocks)).alias("_prefix"),
+        _rank(F.col(end) - F.col(begin), F.col(begin)).alias("_rank"),
+    ).groupBy("_prefix").agg(F.min("_rank").alias("_rank"))
+
+
+def narrowest_ranges(points: DataFrame, point: str, prefixes: DataFrame) -> DataFrame:
+    """(point, _begin, _end) of the narrowest range that holds each distinct point.
+
+    A point has 33 prefixes and meets ``covering_prefixes`` by equality. Those of 2^16 and
+    more numbers are fewer than 2^17 in all, so that side is broadcast whatever the
+    dictionary; of shorter ones each has at most 2^15 points, so none is hot.
+    """
+    wide = F.col("_prefix") >= F.lit(BUCKET_BITS << 33)
+    distinct = points.select(F.col(point).alias("_point")).where(
+        F.col("_point").between(0, (1 << ADDRESS_BITS) - 1)).distinct()
+
+    def met(first: int, last: int, side: DataFrame) -> DataFrame:
+        own = [F.shiftright("_point", k) + F.lit(k << 33) for k in range(first, last + 1)]
+        return distinct.select("_point", F.explode(F.array(*own)).alias("_prefix")).join(
+            side, "_prefix").select("_point", "_rank")
+
+    hits = met(BUCKET_BITS, ADDRESS_BITS, F.broadcast(prefixes.where(wide))).unionByName(
+        met(0, BUCKET_BITS - 1, prefixes.where(~wide)))
+    first = F.col("_rank").bitwiseAND(F.lit((1 << ADDRESS_BITS) - 1))
+    width = F.shiftright("_rank", 32) + F.lit(1 << 31)
+    return hits.groupBy("_point").agg(F.min("_rank").alias("_rank")).select(
+        F.col("_point").alias(point), first.alias("_begin"), (first + width).alias("_end"))
+
+
 def disjoint_ranges(ranges: DataFrame, begin: str, end: str) -> DataFrame:
     """``ranges`` cut into pieces ``_from``-``_to`` of which no two overlap.
 
     Where ranges overlap the narrowest wins, of equal ones the first by begin and then
-    by the text of its columns. Without overlaps each range is one piece.
+    by the values of its other columns. Without overlaps each range is one piece. Ranges
+    hold 32-bit numbers; one that is null, reversed or beyond them holds nothing.
+
+    Only numbers are cut and compared: a piece starts where some range begins, has ended or
+    enters a bucket, so a bucket has at most 2^16 pieces however many ranges crowd it, and
+    all of a piece has the winner of its first number. Texts are joined back to the winners,
+    one row per extent.
     """
+    ranges = ranges.where((F.col(begin) >= 0) & (F.col(begin) <= F.col(end))
+                          & (F.col(end) < F.lit(1 << ADDRESS_BITS)))
     if overlapping_ranges(ranges, begin, end).isEmpty():
         return ranges.withColumns({"_from": F.col(begin), "_to": F.col(end)})
-
-    def swept(table: pa.Table) -> pa.Table:
-        low = table.column("_bucket")[0].as_py() << BUCKET_BITS
-        high = low + (1 << BUCKET_BITS) - 1
-        table = table.drop_columns(["_bucket"])
-        rows = table.to_pylist()
-        order = sorted(range(len(rows)), key=lambda i: (
-            rows[i][end] - rows[i][begin], rows[i][begin], str(sorted(rows[i].items()))))
-        starts: dict[int, list[int]] = {}
-        points = set()
-        for rank, i in enumerate(order):
-            first, last = max(rows[i][begin], low), min(rows[i][end], high)
-            starts.setdefault(first, []).append(rank)
-            points |= {first, last + 1}
-        open_: list[int] = []
-        pieces: list[list[int]] = []
-        points = sorted(points)
-        for at, following in zip(points, [*points[1:], None]):
-            for rank in starts.get(at, ()):
-                heapq.heappush(open_, rank)
-            while open_ and rows[order[open_[0]]][end] < at:
-                heapq.heappop(open_)
-            if open_ and at <= high:
-                winner = order[open_[0]]
-                if pieces and pieces[-1][0] == winner and pieces[-1][2] == at - 1:
-                    pieces[-1][2] = following - 1
-                else:
-                    pieces.append([winner, at, following - 1])
-        picked = table.take(pa.array([p[0] for p in pieces], pa.int64()))
-        return picked.append_column("_from", pa.array([p[1] for p in pieces], pa.int64())
-                                    ).append_column("_to", pa.array([p[2] for p in pieces],
-                                                                    pa.int64()))
-
-    schema = T.StructType([*ranges.schema, T.StructField("_from", T.LongType()),
-                           T.StructField("_to", T.LongType())])
-    # Ranges of one extent need one row; the dictionary is narrow, its text comes along once.
-    distinct = bucket_ranges(ranges.distinct(), begin, end)
-    return distinct.groupBy("_bucket").applyInArrow(swept, schema)
+    others = [c for c in ranges.columns if c not in (begin, end)]
+    texts = ranges.groupBy(F.col(begin).alias("_begin"), F.col(end).alias("_end")).agg(
+        F.min(F.struct(F.lit(0).alias("_"), *others)).alias("_row"))
+    extents = ranges.select(F.col(begin).cast("long").alias("_b"),
+                            F.col(end).cast("long").alias("_e")).distinct()
+    entered = bucket_ranges(extents, "_b", "_e").select(
+        F.greatest("_b", F.shiftleft("_bucket", BUCKET_BITS)).alias("_from"))
+    ended = extents.select((F.col("_e") + 1).alias("_from"))
+    edges = entered.unionByName(ended).distinct().withColumn(
+        "_bucket", F.shiftright("_from", BUCKET_BITS))
+    last = F.shiftleft(F.col("_bucket") + 1, BUCKET_BITS)
+    following = F.lead("_from").over(Window.partitionBy("_bucket").orderBy("_from"))
+    pieces = edges.withColumn("_to", F.coalesce(following, last) - 1)
+    winners = narrowest_ranges(pieces, "_from", covering_prefixes(extents, "_b", "_e"))
+    return winners.join(pieces.drop("_bucket"), "_from").join(texts, ["_begin", "_end"]).select(
+        *[F.col("_begin").cast(ranges.schema[begin].dataType).alias(begin) if c == begin else
+          F.col("_end").cast(ranges.schema[end].dataType).alias(end) if c == end else
+          F.col("_row")[c].alias(c) for c in ranges.columns], "_from", "_to")
 
 
 def range_join(

@@ -162,3 +162,46 @@ def test_nested_and_repeated_ranges_give_the_narrowest(spark, limits):
         holding = sorted((e - b, b, c) for b, e, c, _ in rows if b <= p <= e)
         assert found[t] == (holding[0][2] if holding else "未知国家"), t
     assert len(found) == len(points)
+
+
+def test_crowded_bucket_of_overlapping_ranges(spark):
+    """A third of the ranges in one /16, many texts for one extent, no Python on the way."""
+    pick = random.Random(9)
+    base = number("10.7.0.0")
+    crowd = [(base + a, min(base + a + pick.choice([0, 1, 6, 300, 9000]), base + 65535))
+             for a in (pick.randrange(65536) for _ in range(1500))]
+    rows = [(b, e, f"c{i}", "x") for i, (b, e) in enumerate(crowd)]
+    rows += [(base, base + 65535, f"t{i:04d}", "x") for i in range(1500)]
+    rows += [(0, 2 ** 32 - 1, "all", "x"), (2 ** 31, 2 ** 32 - 1, "half", "x"),
+             (base + 9, base + 3, "reversed", "x"), (None, base, "null", "x"),
+             (base, None, "open", "x"), (base, 2 ** 32, "beyond", "x")]
+    ranges = spark.createDataFrame(
+        rows, "begin_ip_num long, end_ip_num long, country string, area string")
+    pieces = joins.disjoint_ranges(ranges, "begin_ip_num", "end_ip_num")
+    plan = physical_plan(pieces)
+    assert "Arrow" not in plan and "Python" not in plan and "NestedLoop" not in plan
+    assert joins.overlapping_ranges(pieces, "_from", "_to").isEmpty()
+    points = [0, 2 ** 31 - 1, 2 ** 31, 2 ** 32 - 1, base - 1, base + 65536]
+    points += [base + pick.randrange(65536) for _ in range(300)]
+    texts = {".".join(str(p >> s & 255) for s in (24, 16, 8, 0)): p for p in points}
+    frame = spark.createDataFrame([(t,) for t in texts], "ip string")
+    whole = [(e - b, b, c) for b, e, c, _ in rows
+             if b is not None and e is not None and b <= e < 2 ** 32]
+    for limits in ({}, {"max_bytes": 0}):
+        found = enrich.ip_range_join(frame, ranges, **limits).collect()
+        assert len(found) == len(texts)
+        for r in found:
+            p = texts[r.ip]
+            assert r.geo_country == min((w, b, c) for w, b, c in whole if b <= p <= b + w)[2]
+
+
+def test_prefixes_make_up_their_range(spark):
+    pick = random.Random(2)
+    spans = [(0, 2 ** 32 - 1), (5, 5), (1, 2 ** 32 - 2), (2 ** 31, 2 ** 32 - 1)]
+    spans += [tuple(sorted(pick.randrange(2 ** 32) for _ in range(2))) for _ in range(30)]
+    for b, e in spans[:4] + spans[4::6]:
+        frame = spark.createDataFrame([(b, e)], "b long, e long")
+        cut = sorted(((r[0] & (2 ** 33 - 1)) << (r[0] >> 33), 1 << (r[0] >> 33))
+                     for r in joins.covering_prefixes(frame, "b", "e").collect())
+        assert cut[0][0] == b and cut[-1][0] + cut[-1][1] == e + 1 and len(cut) <= 62
+        assert all(x + n == y for (x, n), (y, _) in zip(cut, cut[1:]))
