@@ -1,6 +1,10 @@
 import random
 import re
+import time
+import tracemalloc
 
+import numpy as np
+import pytest
 from conftest import SF_DIR
 
 from clickweir.llm import tiling
@@ -41,7 +45,9 @@ def run(spark, docs, items):
     return {(r["doc_id"], r["item_id"]): (r["n_tiles"], r["n_matched"]) for r in found.collect()}
 
 
-def test_random_texts_equal_brute_force(spark):
+@pytest.mark.parametrize("per_token", [0, 4, 1000])
+def test_random_texts_equal_brute_force(spark, monkeypatch, per_token):
+    monkeypatch.setattr(tiling, "SEEDS_PER_TOKEN", per_token)
     rng = random.Random(11)
     words = ["a", "b", "c"]
     items = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(4, 25))))
@@ -96,3 +102,48 @@ def test_reordered_passages_blocks_nulls_and_clashes(spark, monkeypatch):
 def test_empty_tables(spark):
     assert run(spark, [], [(1, "a b c d e f")]) == {}
     assert run(spark, [(1, "a b c d e f")], []) == {}
+
+
+def test_both_ways_give_the_same_tiles():
+    rng = random.Random(4)
+    for n in range(300):
+        words = rng.choice([["a"], ["a", "b"], ["a", "b", "c", "d"]])
+        item = [rng.choice(words) for _ in range(rng.randrange(5, 60))]
+        doc = [rng.choice(words) for _ in range(rng.randrange(5, 90))]
+        if n % 3 == 0:
+            doc += item[rng.randrange(len(item)):] * 2
+        numbers = [np.array([ord(w) for w in t], dtype=np.uint64) * np.uint64(2 ** 57 + 3)
+                   for t in (item, doc)]
+        found = tiling.tiles_by_length(*numbers)
+        seeds = [(p, t) for p in range(len(item) - 4) for t in range(len(doc) - 4)
+                 if item[p:p + 5] == doc[t:t + 5]]
+        listed = tiling.tiles(*(np.array(x) for x in zip(*seeds))) if seeds else []
+        assert found == listed
+        assert (len(found), sum(k for *_, k in found)) == brute_force(item, doc)
+
+
+@pytest.mark.parametrize("item, doc, matched", [
+    ("a " * 20_000, "a " * 20_000, 20_000),
+    ("a b " * 5_000, "b a " * 20_000, 10_000),
+    ("a " * 9_000 + "x " + "a " * 900, ("a " * 500 + "y ") * 30, 9_900),
+])
+def test_repetitive_texts_take_little_time_and_memory(item, doc, matched):
+    known = tiling.prepared([1], [item])
+    tracemalloc.start()
+    begun = time.perf_counter()
+    [(_, _, _, total)] = tiling._matches(tiling.pa.array([doc]), known)
+    assert time.perf_counter() - begun < 10
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+    assert total == matched
+
+
+@pytest.mark.parametrize("kind", ["date", "smallint", "decimal(20,0)", "double", "string", "int"])
+def test_types_of_ids_and_equal_names(spark, kind):
+    value = "DATE'2020-01-02'" if kind == "date" else f"CAST('7' AS {kind})"
+    items = spark.sql(f"SELECT {value} AS doc_id, 'a b c d e f' AS text")
+    docs = spark.createDataFrame([(1, "x a b c d e f", "c", 1)], DOCS)
+    found = tiling.tiled(docs, items, item_id="doc_id")
+    assert found.columns[:2] == ["doc_id", "item_doc_id"]
+    assert found.select("item_doc_id").collect() == items.selectExpr(
+        "doc_id AS item_doc_id").collect()
