@@ -59,6 +59,16 @@ def unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
+def packed_counts(values: np.ndarray) -> bytes:
+    """Counts packed in the narrowest of 1, 2, 4 and 8 bytes that holds them all; the width leads."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return bytes([kind.itemsize]) + packed(values.astype(kind))
+
+
+def unpacked_counts(data: bytes) -> np.ndarray:
+    return unpacked(data[1:], np.dtype(f"u{data[0]}")).astype(np.uint64)
+
+
 def _sequences(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, bigrams and bounds of the texts; every text ends in the end token."""
     words, bounds = word_hashes(*text_bytes(column))
@@ -123,7 +133,8 @@ def requests(docs: DataFrame, parts: int) -> DataFrame:
             trained = _trained(table, bounds)
             for first, keys in ((0, tokens), (parts, pairs)):
                 distinct, inverse = np.unique(keys, return_inverse=True)
-                counts = np.bincount(inverse, weights=trained, minlength=len(distinct)).astype("<u4")
+                counts = np.bincount(inverse, weights=trained, minlength=len(distinct)).astype(
+                    np.uint64)
                 part = part_of(distinct, parts)
                 cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
                 spans = list(zip(cuts, cuts[1:]))
@@ -132,7 +143,7 @@ def requests(docs: DataFrame, parts: int) -> DataFrame:
                     pa.array([block] * len(spans), pa.int64()),
                     pa.array([packed(np.diff(distinct[lo:hi], prepend=np.uint64(0)))
                               for lo, hi in spans], pa.binary()),
-                    pa.array([packed(counts[lo:hi]) for lo, hi in spans], pa.binary()),
+                    pa.array([packed_counts(counts[lo:hi]) for lo, hi in spans], pa.binary()),
                 ], names=["part", "block", "keys", "counts"])
 
     return docs.mapInArrow(run, "part int, block long, keys binary, counts binary")
@@ -153,15 +164,16 @@ def answers(asked: DataFrame) -> DataFrame:
         table = table.combine_chunks()
         keys = [np.cumsum(unpacked(x.as_py(), np.uint64), dtype=np.uint64)
                 for x in table.column("keys")]
-        counts = np.concatenate([unpacked(x.as_py(), np.uint32) for x in table.column("counts")])
+        counts = np.concatenate([unpacked_counts(x.as_py()) for x in table.column("counts")])
         distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        # Sums of a double are exact up to 2^53.
         sums = np.bincount(inverse, weights=counts, minlength=len(distinct)).astype(np.uint64)
-        found = np.minimum(sums, np.uint64(2 ** 32 - 1)).astype("<u4")[inverse]
+        found = sums[inverse]
         ends = np.cumsum([len(k) for k in keys])
         first = [True] + [False] * (len(keys) - 1)
         return pa.table({
             "block": table.column("block"), "part": table.column("part"),
-            "counts": pa.array([packed(found[e - len(k):e]) for k, e in zip(keys, ends)],
+            "counts": pa.array([packed_counts(found[e - len(k):e]) for k, e in zip(keys, ends)],
                                pa.binary()),
             "kinds": pa.array([int((sums > 0).sum()) if f else 0 for f in first], pa.int64()),
             "total": pa.array([int(sums.sum()) if f else 0 for f in first], pa.int64())})
@@ -201,8 +213,8 @@ def looked_up(blocks: DataFrame, found: DataFrame, parts: int, total: int) -> Da
         counts, owned = [], []
         for chosen, keys in ((part < parts, tokens), (part >= parts, pairs)):
             distinct, inverse = np.unique(keys, return_inverse=True)
-            answer = [unpacked(blobs[int(i)].as_py(), np.uint32) for i in np.flatnonzero(chosen)]
-            answer = np.concatenate(answer) if answer else np.zeros(0, np.uint32)
+            answer = [unpacked_counts(blobs[int(i)].as_py()) for i in np.flatnonzero(chosen)]
+            answer = np.concatenate(answer) if answer else np.zeros(0, np.uint64)
             if len(answer) != len(distinct):
                 raise RuntimeError("a block has changed since it was counted: write docs first")
             counts.append(answer[inverse])
@@ -227,8 +239,8 @@ def looked_up(blocks: DataFrame, found: DataFrame, parts: int, total: int) -> Da
             "id": pa.chunked_array([*docs.column("id").chunks,
                                     pa.nulls(1, docs.column("id").type)]),
             "n_tokens": pa.array([*lengths.tolist(), None], pa.int64()),
-            "words": pa.array([*[packed(word[a:b]) for a, b in spans], None], pa.binary()),
-            "pairs": pa.array([*[packed(pair[a:b]) for a, b in spans], None], pa.binary()),
+            "words": pa.array([*[packed_counts(word[a:b]) for a, b in spans], None], pa.binary()),
+            "pairs": pa.array([*[packed_counts(pair[a:b]) for a, b in spans], None], pa.binary()),
             "trains": pa.array([*docs.column("trains").to_pylist(), None], pa.bool_()),
             "cells": pa.array([None] * rows + [cells.tolist()], pa.list_(pa.int64())),
             "times": pa.array([None] * rows + [n.tolist()], pa.list_(pa.int64())),
@@ -275,8 +287,8 @@ def scored(counted: DataFrame, weights: np.ndarray, total: int, kinds: int) -> D
         for batch in batches:
             known, base, score = [], [], []
             for words, pairs in zip(batch.column(2), batch.column(3)):
-                w = unpacked(words.as_py(), np.uint32).astype(np.float64)
-                vw = unpacked(pairs.as_py(), np.uint32).astype(np.float64)
+                w = unpacked_counts(words.as_py()).astype(np.float64)
+                vw = unpacked_counts(pairs.as_py()).astype(np.float64)
                 v = np.concatenate([w[-1:], w[:-1]])
                 mix = weights[bucket_of(v)]
                 p = (mix[:, 0] * vw / np.maximum(v, 1) + mix[:, 1] * w / max(total, 1)

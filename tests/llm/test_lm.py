@@ -126,3 +126,21 @@ def test_packing():
         values = np.random.default_rng(2).integers(0, np.iinfo(kind).max, 100, dtype=kind)
         assert (lm.unpacked(lm.packed(values), kind) == values).all()
     assert len(lm.unpacked(lm.packed(np.zeros(0, np.uint32)), np.uint32)) == 0
+
+
+@pytest.mark.parametrize("top", [0, 255, 256, 2 ** 32 - 1, 2 ** 32, 2 ** 53])
+def test_counts_of_any_size_are_packed(top):
+    values = np.array([0, 1, top], dtype=np.uint64)
+    assert (lm.unpacked_counts(lm.packed_counts(values)) == values).all()
+    assert len(lm.unpacked_counts(lm.packed_counts(values[:0]))) == 0
+
+
+def test_sums_beyond_32_bits(spark):
+    """Two blocks with 3e9 of one word each: the part answers with the whole sum."""
+    key = lm.packed(np.array([7], dtype=np.uint64))
+    asked = spark.createDataFrame(
+        [(0, b, key, lm.packed_counts(np.array([3 * 10 ** 9], dtype=np.uint64))) for b in (1, 2)],
+        "part int, block long, keys binary, counts binary")
+    rows = lm.answers(asked).collect()
+    assert [int(lm.unpacked_counts(bytes(r["counts"]))[0]) for r in rows] == [6 * 10 ** 9] * 2
+    assert sum(r["total"] for r in rows) == 6 * 10 ** 9
