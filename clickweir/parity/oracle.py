@@ -256,6 +256,14 @@ states AS (
          (pay_hours * 3600)::BIGINT AS seconds_to_pay FROM timed)
 """
 
+_PART_SETS = """RECURSIVE
+bought AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem),
+held AS (
+  SELECT o, [p] AS items, p AS last FROM bought
+  UNION ALL
+  SELECT held.o, list_append(items, p), p FROM held JOIN bought ON bought.o = held.o AND p > last),
+sets AS (SELECT items, count(*) AS n FROM held GROUP BY items HAVING count(*) >= 3)"""
+
 ORACLE_SQL: dict[str, str] = {
     "log_parse": f"""WITH {_LOGS}
 SELECT event_id, ip, s_time, http_host, en, ver, u_ud, u_mid, u_sd, c_time, l, b_iev, b_rst, pl, tt,
@@ -458,4 +466,13 @@ SELECT event_id, s_millis AS millis,
 FROM logs""",
     "running_dates": """
 SELECT o_orderkey, o_orderkey % 5 = 4 AS valid, o_orderkey % 5 IN (1, 3) AS blank FROM orders""",
+    "frequent_parts": f"""WITH {_PART_SETS}
+SELECT array_to_string(items, ' ') AS parts, CAST(len(items) AS INTEGER) AS n_parts, n AS n_orders
+FROM sets""",
+    "part_rules": f"""WITH {_PART_SETS}, cut AS (
+  SELECT n, x, list_filter(items, lambda y: y <> x) AS rest
+  FROM (SELECT n, items, unnest(items) AS x FROM sets WHERE len(items) > 1))
+SELECT array_to_string(rest, ' ') AS antecedent, CAST(x AS VARCHAR) AS consequent,
+       cut.n / sets.n AS confidence
+FROM cut JOIN sets ON sets.items = rest WHERE cut.n / sets.n >= 0.1""",
 }

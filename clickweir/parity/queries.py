@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from clickweir import schemas, storage, workspace
 from clickweir.functions import dates, geo, network, text
-from clickweir.operators import (activity, analytics, asof, enrich, keyed, lifecycle, logs, orders,
-                                 sessions, shaping)
+from clickweir.operators import (activity, analytics, asof, baskets, enrich, keyed, lifecycle, logs,
+                                 orders, sessions, shaping)
 from clickweir.parity import fixtures
 from clickweir.parity.fixtures import table
 from clickweir.plans import log_etl, new_users, order_etl, order_statistics
@@ -655,3 +655,21 @@ def running_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         dates.is_valid_running_date(F.col("given")).alias("valid"),
         text.is_blank(F.col("given")).alias("blank"),
     )
+
+
+@registered
+def frequent_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets of parts that three orders or more have together."""
+    sets = baskets.frequent_sets(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", 3)
+    return sets.select(F.array_join(F.col("items").cast("array<string>"), " ").alias("parts"),
+                       F.size("items").alias("n_parts"), F.col("n_baskets").alias("n_orders"))
+
+
+@registered
+def part_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that come along with others in a tenth of the orders or more."""
+    rules = baskets.rules_between(
+        table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", 3, 0.1)
+    return rules.select(
+        F.array_join(F.col("antecedent").cast("array<string>"), " ").alias("antecedent"),
+        F.col("consequent").cast("string").alias("consequent"), "confidence")
