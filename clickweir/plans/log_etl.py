@@ -23,7 +23,13 @@ from clickweir.operators.logs import (
 from clickweir.operators.shaping import with_metrics
 from clickweir.schemas import EVENT_COLUMNS
 from clickweir.session import build_session
-from clickweir.sinks.events import publish_snapshot, write_daily_events, write_sorted_cells
+from clickweir.sinks.events import (
+    publish_snapshot,
+    retire_folders,
+    write_daily_events,
+    write_sorted_cells,
+)
+from clickweir.sources.events import read_events
 from clickweir.sources.logs import read_access_logs, read_ip_ranges
 
 
@@ -71,9 +77,10 @@ def run_log_etl(
     parsed.write.parquet(staged)
     events = merge_colliding_rows(spark.read.parquet(staged), "ingest_order")
     write_daily_events(events, table, process_date)
+    retire_folders(spark, table, process_date)
     if cells_path:
-        write_sorted_cells(to_cells(spark.read.parquet(f"{table}/event_date={process_date}")),
-                           cells_path)
+        day = read_events(spark, table, process_date).drop("event_date")
+        write_sorted_cells(to_cells(day), cells_path)
     if snapshot_root:
         publish_snapshot(spark, table, process_date, snapshot_root)
     workspace.delete(spark, staged)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
@@ -56,13 +57,39 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def replace(spark: SparkSession, source: str, target: str) -> None:
-    """Put a finished folder in the place of another."""
-    delete(spark, target)
-    fs, p = _fs(spark, source)
-    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(target).getParent())
-    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):
-        raise OSError(f"{source} could not be renamed to {target}")
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, whole or not at all; FileExistsError if the path is taken."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs, target = _fs(spark, path)
+    staged = hadoop.Path(target.getParent(), f"_staged-{uuid.uuid4().hex}")
+    stream = fs.create(staged)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    rename = getattr(hadoop, "Options$Rename")
+    modes = spark.sparkContext._gateway.new_array(rename, 1)
+    modes[0] = rename.NONE
+    try:
+        # Unlike FileSystem.rename this never replaces an existing file.
+        hadoop.FileContext.getFileContext(
+            fs.getUri(), spark._jsc.hadoopConfiguration()
+        ).rename(staged, target, modes)
+    except Py4JJavaError as error:
+        fs.delete(staged, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            raise FileExistsError(path) from error
+        raise
 
 
 def materialized(df: DataFrame, label: str) -> DataFrame:
