@@ -14,8 +14,8 @@ from pyspark.sql import SparkSession
 
 from clickweir import workspace
 
-# Readers that listed the folder just before a commit still find their manifest.
-_KEPT = 2
+# How many manifests stay, for readers that took one just before it was replaced.
+KEPT = 2
 _DIGITS = 12
 
 
@@ -38,14 +38,16 @@ def newest(spark: SparkSession, root: str) -> tuple[int, dict | None]:
     return numbers[-1], json.loads(workspace.read_text(spark, _path(root, numbers[-1])))
 
 
-def kept(spark: SparkSession, root: str) -> list[dict]:
+def kept(spark: SparkSession, root: str, keep: int = KEPT) -> list[dict]:
     """The manifests that readers may be using, oldest first."""
     return [json.loads(workspace.read_text(spark, _path(root, n)))
-            for n in _numbers(spark, root)[-_KEPT:]]
+            for n in _numbers(spark, root)[-keep:]]
 
 
-def commit(spark: SparkSession, root: str, based_on: int, content: dict) -> None:
+def commit(
+    spark: SparkSession, root: str, based_on: int, content: dict, keep: int = KEPT
+) -> None:
     """Put the next manifest in force; FileExistsError if another writer was faster."""
     workspace.write_new_text(spark, _path(root, based_on + 1), json.dumps(content))
-    for number in _numbers(spark, root)[:-_KEPT]:
+    for number in _numbers(spark, root)[:-keep]:
         workspace.delete(spark, _path(root, number))

@@ -204,6 +204,12 @@ routed AS (
          o_orderkey AS "offset", o_orderdate
   FROM orders)"""
 
+_NEWEST_ROUTED = f"""WITH {_ROUTED}
+SELECT sink, order_id, "partition", "offset" FROM (
+  SELECT *, row_number() OVER (PARTITION BY sink, order_id
+    ORDER BY o_orderdate DESC, "partition" DESC, "offset" DESC) AS rn FROM routed)
+WHERE rn = 1"""
+
 _WINDOWS = """
 windows AS (
   SELECT make_timestamp(CAST(w * 1000000 AS BIGINT)) AS window_start,
@@ -420,11 +426,8 @@ closed AS (SELECT max(window_start) AS newest FROM windows
            WHERE window_start + INTERVAL 15 HOUR <= (SELECT max(ts) FROM windows))
 SELECT {_WINDOW_TEXT}, province_id, cnt, rank FROM ranked
 WHERE rank <= 10 AND ranked.window_start = (SELECT newest FROM closed)""",
-    "routed_tables": f"""WITH {_ROUTED}
-SELECT sink, order_id, "partition", "offset" FROM (
-  SELECT *, row_number() OVER (PARTITION BY sink, order_id
-    ORDER BY o_orderdate DESC, "partition" DESC, "offset" DESC) AS rn FROM routed)
-WHERE rn = 1""",
+    "routed_tables": _NEWEST_ROUTED,
+    "routed_compacted": _NEWEST_ROUTED,
     "routed_metrics": """
 SELECT CAST(count(*) AS BIGINT) AS received,
        CAST(count(*) FILTER (WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0) AS BIGINT)

@@ -572,6 +572,25 @@ def routed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.read_routed(spark, root).select("sink", "order_id", "partition", "offset")
 
 
+@registered
+def routed_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in eight micro-batches, stopped and resumed halfway, in a table the stream folds."""
+    source, path = workspace.new_dir(spark, "orders"), workspace.new_dir(spark, "routed-runs")
+    checkpoint, ledger = workspace.new_dir(spark, "checkpoint"), workspace.new_dir(spark, "ledger")
+
+    def write(orders: DataFrame, root: str, batch_id: int) -> bool:
+        return routed.write_runs(orders, root, batch_id, fan_in=3)
+
+    halves = table(spark, sf_dir, "orders")
+    for half in range(2):
+        halves.where(F.abs(F.hash("o_custkey", "o_orderkey")) % 2 == half).repartition(
+            4, "o_orderkey").write.mode("append").parquet(source)
+        messages = fixtures.typed_order_messages(table_stream(spark, source, max_files=1))
+        runner.run_query(runner.foreach_batch(
+            messages, etl_streams.store_orders(path, ledger, write=write), checkpoint, "append"))
+    return routed.read_runs(spark, path).select("sink", "order_id", "partition", "offset")
+
+
 @registered
 def routed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the routed store takes and what it leaves out."""

@@ -4,6 +4,9 @@ Each micro-batch goes to its own partition ``sink=<name>/batch_id=<n>``. A
 repeated batch replaces its partition, and reading takes the newest message of a
 key, so re-delivery never duplicates. A batch costs what it holds, not what the
 table holds.
+
+``write_runs`` and ``read_runs`` keep the same rows in a table of sorted runs, which the
+stream folds as it goes (``clickweir.runs``): folders stay few and a read merges few runs.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from clickweir import runs
 from clickweir.operators.keyed import latest_by_key
 from clickweir.operators.orders import route_by_type, with_json_field
 
@@ -86,3 +90,23 @@ def compact_routed(spark: SparkSession, root: str, compacted: str) -> None:
         .withColumn("batch_id", F.lit(last).cast("long"))
         .write.mode("error").partitionBy("sink", "batch_id").parquet(compacted)
     )
+
+
+def write_runs(orders: DataFrame, path: str, batch_id: int, fan_in: int = runs.FAN_IN) -> bool:
+    """Store one micro-batch of ``keyed_orders`` as a run and fold what is due.
+
+    False if the table has the batch already; ``orders`` is then not read.
+
+    The newest message of an order is that latest in ``MESSAGE_ORDER``, whichever batch brings
+    it, so late or re-read messages never replace newer ones.
+    """
+    wanted = ["sink", "order_id", "value", *MESSAGE_ORDER]
+    stored = runs.put_batch(orders.select(*wanted), path, batch_id, ["sink", "order_id"],
+                            MESSAGE_ORDER, ["sink"])
+    runs.fold(orders.sparkSession, path, fan_in)
+    return stored
+
+
+def read_runs(spark: SparkSession, path: str, sink: str | None = None) -> DataFrame | None:
+    """Current message of every order, of one sink or of all; None before the first batch."""
+    return runs.read_current(spark, path, None if sink is None else F.col("sink") == sink)

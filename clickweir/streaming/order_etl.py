@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickweir import storage
-from clickweir.sinks.routed import keyed_orders, write_routed
+from clickweir.sinks.routed import keyed_orders, write_routed, write_runs
 from clickweir.streaming.runner import BatchFunction
 
 _LOG = logging.getLogger(__name__)
@@ -34,9 +34,12 @@ def log_routing(batch_id: int, counts: dict[str, int]) -> None:
                      counts["rejected"], counts["received"])
 
 
-def store_orders(root: str, ledger: str | None = None, report=log_routing) -> BatchFunction:
+def store_orders(
+    root: str, ledger: str | None = None, report=log_routing, write=write_routed
+) -> BatchFunction:
     """Store each micro-batch by sink and order id, then commit its offsets.
 
+    ``write`` is ``write_routed``, or ``write_runs`` for a table that the stream folds itself.
     ``report`` gets the batch's id and its counts of received, stored and rejected messages.
 
     Storing is idempotent per batch and offsets are saved last, so a failure in
@@ -45,8 +48,9 @@ def store_orders(root: str, ledger: str | None = None, report=log_routing) -> Ba
 
     def store(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
-        write_routed(keyed_orders(batch, seen), root, batch_id)
-        report(batch_id, seen.get)
+        # A batch that the table has already is not read, so nothing was seen.
+        if write(keyed_orders(batch, seen), root, batch_id) is not False:
+            report(batch_id, seen.get)
         if ledger is not None:
             commit_offsets(batch, ledger)
 
