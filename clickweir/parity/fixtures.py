@@ -190,6 +190,13 @@ def typed_order_messages(orders: DataFrame) -> DataFrame:
     )
 
 
+def dated_prices(orders: DataFrame) -> DataFrame:
+    """Orders with province, price and time; a third of them are province 1's."""
+    return orders.selectExpr(
+        f"CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE CAST({_PROVINCE} AS INT) END AS province_id",
+        "o_totalprice AS order_price", "CAST(o_orderdate AS TIMESTAMP) AS ts")
+
+
 def dirty_typed_messages(orders: DataFrame) -> DataFrame:
     """Typed order messages of which some are no JSON and some lack the order id."""
     return typed_order_messages(orders).withColumn("value", F.expr("""

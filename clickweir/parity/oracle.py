@@ -417,6 +417,12 @@ FROM (SELECT o_orderkey % 3 AS p, max(o_orderkey) + 1 AS until_offset FROM order
     "running_revenue_complete": _REVENUE,
     "running_revenue_update": _REVENUE,
     "stateful_revenue": _CSV_REVENUE,
+    "stateful_totals": f"""
+SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE {_PROVINCE} END AS province_id,
+       round(sum(o_totalprice), 2) AS total,
+       round(sum(CASE WHEN date_trunc('month', o_orderdate) + INTERVAL 400 DAY > newest
+                      THEN o_totalprice ELSE 0 END), 2) AS recent
+FROM orders, (SELECT max(o_orderdate) AS newest FROM orders) GROUP BY 1""",
     "windowed_order_count": f"""WITH {_WINDOWS}
 SELECT {_WINDOW_TEXT}, province_id, cnt FROM counts""",
     "windowed_top10": f"""WITH {_WINDOWS}

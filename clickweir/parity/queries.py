@@ -22,7 +22,7 @@ from clickweir.sources import logs as log_sources
 from clickweir.sources import offsets
 from clickweir.sources.streams import table_stream
 from clickweir.streaming import order_etl as etl_streams
-from clickweir.streaming import runner, state, statistics
+from clickweir.streaming import runner, state, statistics, totals
 
 PROCESS_DATE = "2024-01-30"
 
@@ -486,13 +486,13 @@ def _order_messages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_revenue(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    totals = workspace.new_dir(spark, "totals")
+    result = workspace.new_dir(spark, "totals")
     messages = fixtures.sale_order_messages(_order_messages_stream(spark, sf_dir))
     runner.run_query(order_statistics.revenue_query(
-        orders.valid_orders(orders.parse_sale_order(messages)), totals,
+        orders.valid_orders(orders.parse_sale_order(messages)), result,
         workspace.new_dir(spark, "checkpoint"), mode, interval=None,
     ))
-    return _rounded(storage.read_keyed(spark, totals))
+    return _rounded(storage.read_keyed(spark, result))
 
 
 @registered
@@ -507,7 +507,7 @@ def running_revenue_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def stateful_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = workspace.new_dir(spark, "totals")
+    result = workspace.new_dir(spark, "totals")
     messages = fixtures.csv_messages(_order_messages_stream(spark, sf_dir))
     parsed = order_statistics.csv_orders(messages).select("province_id", "order_price")
     revenue = state.stateful_map(
@@ -515,9 +515,33 @@ def stateful_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         combine=state.summed_by("province_id", "order_price"),
     )
     runner.run_query(runner.foreach_batch(
-        revenue, statistics.upsert_totals(totals), workspace.new_dir(spark, "checkpoint")
+        revenue, statistics.upsert_totals(result), workspace.new_dir(spark, "checkpoint")
     ))
-    return _rounded(storage.read_keyed(spark, totals))
+    return _rounded(storage.read_keyed(spark, result))
+
+
+@registered
+def stateful_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue of all time and of recent months per province, in typed state with timers.
+
+    A table of the first quarter of the orders seeds the state; the rest comes as a stream that
+    is stopped and resumed after each quarter.
+    """
+    source, result = workspace.new_dir(spark, "orders"), workspace.new_dir(spark, "totals")
+    checkpoint = workspace.new_dir(spark, "checkpoint")
+    rows = totals.period_rows(fixtures.dated_prices(_orders(spark, sf_dir)), "province_id",
+                              "order_price", "ts", "month")
+    first, *rest = _quarters(rows, "at")
+    seed = workspace.materialized(first, "seed")
+    for part in rest:
+        part.write.mode("append").parquet(source)
+        with totals.rocks_db_state(spark):
+            runner.run_query(runner.foreach_batch(
+                totals.period_totals(table_stream(spark, source), "province_id", 400,
+                                     "0 seconds", seed),
+                statistics.upsert_newest(result), checkpoint))
+    return storage.read_keyed(spark, result).select("province_id", *[
+        F.round(c, 2).alias(c) for c in ("total", "recent")])
 
 
 def _window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

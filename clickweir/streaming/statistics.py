@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweir import storage
+from clickweir.operators.keyed import latest_by_key
 from clickweir.operators.orders import (
     province_revenue,
     top_provinces_per_window,
@@ -43,6 +44,20 @@ def upsert_totals(path: str) -> BatchFunction:
     return store
 
 
+def upsert_newest(path: str, keys: list[str] = TOTAL_KEYS, grows: str = "total") -> BatchFunction:
+    """Like ``upsert_totals`` for a stream that may emit a key several times in a batch.
+
+    State that is updated and then expires in one batch emits both rows, in no stated order;
+    the one with the larger ``grows``, or else with less ``recent``, is the later.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        newest = latest_by_key(batch, keys, [F.col(grows), -F.col("recent")])
+        storage.upsert_table(newest, path, keys)
+
+    return store
+
+
 def windowed_counts(
     orders: DataFrame,
     length: str = WINDOW_LENGTH,
