@@ -14,7 +14,9 @@ from clickweir.operators.analytics import (
     new_users_by_browser_sql,
     new_users_by_platform,
 )
+from clickweir.plans.log_etl import process_day
 from clickweir.session import build_session
+from clickweir.sinks.jdbc import JdbcTarget, upsert_jdbc
 from clickweir.sources.events import read_events, read_snapshot
 
 RESULT_KEYS = ["day_dim", "platform_dim", "browser_dim"]
@@ -39,23 +41,34 @@ def new_user_counts(launch_events: DataFrame, form: str = "browser") -> DataFram
 
 
 def run_new_users(
-    spark: SparkSession, table: str, process_date: str, result: str, snapshot: bool = False
+    spark: SparkSession, table: str, process_date: str, result: str | JdbcTarget,
+    snapshot: bool = False, dialect: str = "ansi",
 ) -> None:
-    """Upsert the day's browser counts into the result table."""
-    counts = new_user_counts(launches(spark, table, process_date, snapshot))
-    storage.upsert_table(as_result_table(counts), result, RESULT_KEYS)
+    """Upsert the day's browser counts into the result: a keyed table or a relational one."""
+    counts = as_result_table(new_user_counts(launches(spark, table, process_date, snapshot)))
+    if isinstance(result, JdbcTarget):
+        upsert_jdbc(counts, result, RESULT_KEYS, dialect)
+    else:
+        storage.upsert_table(counts, result, RESULT_KEYS)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = argparse.ArgumentParser(description="Count new users of a day")
-    args.add_argument("process_date")
+    args.add_argument("process_date", type=process_day)
     args.add_argument("--table", required=True)
-    args.add_argument("--result", required=True)
+    args.add_argument("--result", required=True, help="a path, or with --jdbc-url a table's name")
+    args.add_argument("--jdbc-url")
+    args.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE")
+    args.add_argument("--dialect", choices=["ansi", "mysql"], default="ansi")
     args.add_argument("--snapshot", action="store_true")
     args.add_argument("--zone", default="UTC")
     given = args.parse_args(argv)
     spark = build_session("new-users", zone=given.zone)
-    run_new_users(spark, given.table, given.process_date, given.result, given.snapshot)
+    result = given.result
+    if given.jdbc_url:
+        result = JdbcTarget(given.jdbc_url, result,
+                            dict(p.split("=", 1) for p in given.jdbc_property))
+    run_new_users(spark, given.table, given.process_date, result, given.snapshot, given.dialect)
 
 
 if __name__ == "__main__":
