@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth, FPGrowthModel
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,44 +24,63 @@ def baskets_of(rows: DataFrame, basket: str, item: str, min_count: int) -> DataF
         F.collect_set("item").alias("items")).select("items")
 
 
-def _grown(rows: DataFrame, basket: str, item: str, min_count: int, confidence: float,
-           parts: int | None) -> FPGrowthModel | None:
-    stored = materialized(baskets_of(rows, basket, item, min_count), "baskets")
-    n = stored.count()
-    if not n:
-        return None
-    # Half a basket less, so that rounding up the product gives min_count again.
-    growth = FPGrowth(itemsCol="items", minSupport=max(min_count - 0.5, 0) / n,
-                      minConfidence=confidence)
-    return (growth.setNumPartitions(parts) if parts else growth).fit(stored)
+def _of_level(counted: DataFrame, min_count: int, parts: int | None) -> DataFrame:
+    """Stored (prefix, item, n) of the sets that ``min_count`` baskets or more have."""
+    keys = ["prefix", "item"]
+    dealt = counted.groupBy(*keys).agg(F.sum("weight").alias("n"))
+    if parts:
+        dealt = counted.repartition(parts, *keys).groupBy(*keys).agg(F.sum("weight").alias("n"))
+    return materialized(dealt.where(F.col("n") >= min_count), "sets")
 
 
 def frequent_sets(rows: DataFrame, basket: str, item: str, min_count: int,
                   parts: int | None = None) -> DataFrame:
     """(items, n_baskets) of every set of items that ``min_count`` baskets or more have whole.
 
-    Items are dealt to ``parts`` groups (as many as the input has partitions if not given). A
-    group gets of each basket what stands before its own items in the order of frequency and
-    grows its own prefix tree, so a frequent item, which stands first, is a count in each tree
-    and no group of its own.
+    Sets grow by one item a level. Equal baskets are one row with a weight. A basket is a row per
+    frequent set (``prefix``) it has, with the later items that make another frequent set of it
+    (``tails``); each of these with each later one is a candidate. Candidates are counted by a
+    shuffle, so no tree or list of items is kept in a task or the driver, and a frequent item is
+    one row per map task. ``parts`` is the number of that shuffle's tasks, Spark's own if not given.
     """
     kind = rows.schema[item].dataType.simpleString()
-    model = _grown(rows, basket, item, min_count, 1.0, parts)
-    if model is None:
-        return rows.sparkSession.createDataFrame([], f"items array<{kind}>, n_baskets bigint")
-    return model.freqItemsets.select(
-        F.sort_array("items").alias("items"), F.col("freq").alias("n_baskets"))
+    gathered = baskets_of(rows, basket, item, min_count).groupBy(
+        F.sort_array("items").alias("tails")).agg(F.count(F.lit(1)).alias("weight"))
+    held = materialized(gathered.select(
+        F.monotonically_increasing_id().alias("basket"), "weight",
+        F.expr(f"CAST(array() AS array<{kind}>)").alias("prefix"), "tails"), "baskets")
+    grown = held.select("basket", "weight", "prefix", F.explode("tails").alias("item"))
+    levels = []
+    while True:
+        found = _of_level(grown, min_count, parts)
+        if levels and found.isEmpty():
+            break
+        levels.append(found.select(
+            F.concat("prefix", F.array("item")).alias("items"), F.col("n").alias("n_baskets")))
+        if len(levels) > 1:
+            held = materialized(
+                grown.join(found.select("prefix", "item"), ["prefix", "item"])
+                .groupBy("basket", "weight", "prefix")
+                .agg(F.sort_array(F.collect_list("item")).alias("tails"))
+                .where(F.size("tails") > 1), "baskets")
+        heads = held.where(F.size("tails") > 1).select(
+            "*", F.explode(F.sequence(F.lit(1), F.size("tails") - 1)).alias("at"))
+        grown = heads.select(
+            "basket", "weight",
+            F.concat("prefix", F.array(F.element_at("tails", F.col("at")))).alias("prefix"),
+            F.explode(F.slice("tails", F.col("at") + 1, F.size("tails"))).alias("item"))
+    return reduce(DataFrame.unionByName, levels)
 
 
 def rules_between(rows: DataFrame, basket: str, item: str, min_count: int, confidence: float,
                   parts: int | None = None) -> DataFrame:
     """(antecedent, consequent, confidence) of frequent sets: of the baskets with all of
     ``antecedent`` the share that has ``consequent`` too, if it is ``confidence`` or more."""
-    kind = rows.schema[item].dataType.simpleString()
-    model = _grown(rows, basket, item, min_count, confidence, parts)
-    if model is None:
-        return rows.sparkSession.createDataFrame(
-            [], f"antecedent array<{kind}>, consequent {kind}, confidence double")
-    return model.associationRules.select(
-        F.sort_array("antecedent").alias("antecedent"),
-        F.col("consequent")[0].alias("consequent"), "confidence")
+    sets = frequent_sets(rows, basket, item, min_count, parts)
+    cut = sets.where(F.size("items") > 1).select(
+        "items", "n_baskets", F.explode("items").alias("consequent")).select(
+        F.filter("items", lambda x: x != F.col("consequent")).alias("antecedent"),
+        "consequent", F.col("n_baskets").alias("n"))
+    share = (F.col("n") / F.col("n_baskets")).alias("confidence")
+    return cut.join(sets.withColumnRenamed("items", "antecedent"), "antecedent").select(
+        "antecedent", "consequent", share).where(F.col("confidence") >= confidence)

@@ -3,6 +3,7 @@ from collections import Counter
 from itertools import combinations
 
 import pytest
+from conftest import physical_plan
 
 from clickweir.operators import baskets
 
@@ -61,3 +62,18 @@ def test_nothing_to_grow(spark):
     assert baskets.frequent_sets(empty, "basket", "item", 1).collect() == []
     assert baskets.rules_between(empty, "basket", "item", 1, 0.1).columns == [
         "antecedent", "consequent", "confidence"]
+
+
+def test_sets_are_counted_by_shuffles_and_stored_by_level(spark, rows):
+    """No prefix trees in a task, no list of items in the driver."""
+    frame = spark.createDataFrame(rows, SCHEMA)
+    plan = physical_plan(baskets.frequent_sets(frame, "basket", "item", 3))
+    assert "ExistingRDD" not in plan and "FileScan parquet" in plan
+
+
+def test_equal_baskets_are_counted_at_once(spark):
+    rows = [(b, i, 1, 1) for b in range(300) for i in ("abc" if b % 3 else "abd")]
+    found = baskets.frequent_sets(spark.createDataFrame(rows, SCHEMA), "basket", "item", 100)
+    assert {"".join(r["items"]): r["n_baskets"] for r in found.collect()} == {
+        "a": 300, "b": 300, "c": 200, "d": 100, "ab": 300, "ac": 200, "ad": 100, "bc": 200,
+        "bd": 100, "abc": 200, "abd": 100}
