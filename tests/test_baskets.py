@@ -77,3 +77,9 @@ def test_equal_baskets_are_counted_at_once(spark):
     assert {"".join(r["items"]): r["n_baskets"] for r in found.collect()} == {
         "a": 300, "b": 300, "c": 200, "d": 100, "ab": 300, "ac": 200, "ad": 100, "bc": 200,
         "bd": 100, "abc": 200, "abd": 100}
+
+
+def test_rules_are_joined_from_stored_sets(spark, rows):
+    frame = spark.createDataFrame(rows, SCHEMA)
+    plan = physical_plan(baskets.rules_between(frame, "basket", "item", 5, 0.5))
+    assert "ExistingRDD" not in plan and "FileScan parquet" in plan
