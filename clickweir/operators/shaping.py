@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from math import ceil
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
@@ -12,6 +13,7 @@ from clickweir import schemas
 from clickweir.operators.logs import is_log_line, parse_uri_params
 
 SMALL_RESULT_ROWS = 100_000
+PIECE_ROWS = 50_000
 
 
 def with_metrics(df: DataFrame, name: str, **extra: Column) -> tuple[DataFrame, Observation]:
@@ -56,13 +58,17 @@ def shrink_partitions(
     return df.coalesce(1) if rows <= max_rows else df
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Use all cores for costly work on an input that comes in fewer pieces.
+def spread_small_input(df: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Use all cores for costly work on an input that comes in fewer or larger pieces.
 
-    An input with at least a piece per core is left where it is.
+    Rows of a columnar file are small and may grow a hundredfold on the way (lines, wide events,
+    cells), so what a task sorts is bounded by rows, not by the file's bytes. The rows are counted,
+    which for Parquet reads footers alone. An input with at least a piece per core and per
+    ``piece_rows`` rows is left where it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    pieces = max(cores, ceil(df.count() / piece_rows))
+    return df.repartition(pieces) if df.rdd.getNumPartitions() < pieces else df
 
 
 @contextmanager

@@ -287,3 +287,10 @@ def test_jdbc_statements():
     )
     target = jdbc.JdbcTarget("jdbc:x", "r", {"user": "u"})
     assert target.writer_properties() == {"batchsize": "500", "user": "u"}
+
+
+def test_pieces_are_bounded_by_rows(spark):
+    one = spark.range(1000).coalesce(1)
+    assert shaping.spread_small_input(one, piece_rows=100).rdd.getNumPartitions() == 10
+    wide = spark.range(0, 1000, 1, 12)
+    assert shaping.spread_small_input(wide, piece_rows=100).rdd.getNumPartitions() == 12
