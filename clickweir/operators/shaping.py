@@ -58,6 +58,11 @@ def shrink_partitions(
     return df.coalesce(1) if rows <= max_rows else df
 
 
+def pieces_of(df: DataFrame, piece_rows: int = PIECE_ROWS) -> int:
+    """How many pieces of ``piece_rows`` rows ``df`` makes, one at least; counts the rows."""
+    return max(1, ceil(df.count() / piece_rows))
+
+
 def spread_small_input(df: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Use all cores for costly work on an input that comes in fewer or larger pieces.
 
@@ -67,7 +72,7 @@ def spread_small_input(df: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame
     ``piece_rows`` rows is left where it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    pieces = max(cores, ceil(df.count() / piece_rows))
+    pieces = max(cores, pieces_of(df, piece_rows))
     return df.repartition(pieces) if df.rdd.getNumPartitions() < pieces else df
 
 

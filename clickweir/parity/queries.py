@@ -606,10 +606,12 @@ def routed_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
         return routed.write_runs(orders, root, batch_id, fan_in=3)
 
     halves = table(spark, sf_dir, "orders")
+    # A micro-batch is an eighth of the orders in as many files as keep all cores at work on it.
+    files = shaping.pieces_of(halves, 8 * shaping.PIECE_ROWS)
     for half in range(2):
         halves.where(F.abs(F.hash("o_custkey", "o_orderkey")) % 2 == half).repartition(
-            4, "o_orderkey").write.mode("append").parquet(source)
-        messages = fixtures.typed_order_messages(table_stream(spark, source, max_files=1))
+            4 * files, "o_orderkey").write.mode("append").parquet(source)
+        messages = fixtures.typed_order_messages(table_stream(spark, source, max_files=files))
         runner.run_query(runner.foreach_batch(
             messages, etl_streams.store_orders(path, ledger, write=write), checkpoint, "append"))
     return routed.read_runs(spark, path).select("sink", "order_id", "partition", "offset")

@@ -294,3 +294,30 @@ def test_pieces_are_bounded_by_rows(spark):
     assert shaping.spread_small_input(one, piece_rows=100).rdd.getNumPartitions() == 10
     wide = spark.range(0, 1000, 1, 12)
     assert shaping.spread_small_input(wide, piece_rows=100).rdd.getNumPartitions() == 12
+
+
+def test_a_large_micro_batch_comes_in_several_files(spark, tmp_path, monkeypatch):
+    from clickweir.parity import queries
+
+    spark.range(800).selectExpr(
+        "id AS o_orderkey", "id % 90 AS o_custkey", "CAST(id AS DOUBLE) AS o_totalprice",
+        "'1-URGENT' AS o_orderpriority", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS o_orderdate",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(shaping, "PIECE_ROWS", 20)
+    files, batches = [], []
+    write, read = queries.routed.write_runs, queries.table_stream
+
+    def spied(orders, root, batch_id, **options):
+        batches.append(batch_id)
+        return write(orders, root, batch_id, **options)
+
+    def stream(spark, path, max_files):
+        files.append((max_files, len(spark.read.parquet(path).inputFiles())))
+        return read(spark, path, max_files=max_files)
+
+    monkeypatch.setattr(queries.routed, "write_runs", spied)
+    monkeypatch.setattr(queries, "table_stream", stream)
+    found = queries.QUERIES["routed_compacted"](spark, str(tmp_path)).collect()
+    assert batches == [*range(8)] and files == [(5, 20), (5, 40)]
+    newest = {f"C{k % 90}": k for k in sorted(range(800), key=lambda k: (k % 3, k))}
+    assert {r["order_id"]: r["offset"] for r in found} == newest
