@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 # Encoded words that a task remembers; beyond that it forgets all and starts again.
 REMEMBERED_WORDS = 200_000
 # Texts of about so many characters are encoded together.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 # Longer position lists are merged as arrays.
 ARRAY_MERGE = 24
 

@@ -70,3 +70,13 @@ def test_nulls_repeats_clashes_and_empty(spark, model, library):
     assert found[3]["ids"] == found[4]["ids"]
     assert found[None]["decoded"] == library.decode(expected(library, "word " * 50_000))
     assert bpe.encode(spark.createDataFrame([], SCHEMA), model).count() == 0
+
+
+def test_texts_are_encoded_a_million_characters_at_a_time():
+    import pyarrow as pa
+
+    from clickweir.llm import bpe
+
+    parts = list(bpe._sliced(pa.array(["x" * 1000] * 3000)))
+    assert max(sum(map(len, part)) for part in parts) <= 1_001_000
+    assert sum(map(len, parts)) == 3000
