@@ -83,3 +83,28 @@ def test_rules_are_joined_from_stored_sets(spark, rows):
     frame = spark.createDataFrame(rows, SCHEMA)
     plan = physical_plan(baskets.rules_between(frame, "basket", "item", 5, 0.5))
     assert "ExistingRDD" not in plan and "FileScan parquet" in plan
+
+
+def test_tasks_are_dealt_by_rows_and_settings_restored(spark, tmp_path, monkeypatch):
+    """Files and shuffles are cut by counted rows, whatever the session's settings are."""
+    rng = random.Random(4)
+    spark.createDataFrame(
+        [(b, f"i{i}", 1, 1) for b in range(800) for i in rng.sample(range(60), 5)], SCHEMA,
+    ).repartition(4).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    monkeypatch.setattr(baskets, "TASK_ROWS", 200, raising=False)
+    monkeypatch.setattr(baskets, "TASK_BYTES", "1k", raising=False)
+    names = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = [spark.conf.get(name) for name in names]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sets = baskets.frequent_sets(rows, "basket", "item", 3)
+        rules = baskets.rules_between(rows, "basket", "item", 3, 0.01)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [spark.conf.get(name) for name in names] == before
+    # 8 000 candidate pairs in some 40 tasks, each with sets of its own.
+    assert len(sets.where("size(items) = 2").inputFiles()) > 20
+    assert rules.count() == sum(r["k"] for r in sets.where("size(items) > 1").selectExpr(
+        "size(items) AS k").collect())
