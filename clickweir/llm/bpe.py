@@ -249,6 +249,20 @@ def _with_column(df: DataFrame, name: str, kind: T.DataType,
     return kept, T.StructType([*[df.schema[i] for i in kept], T.StructField(name, kind)])
 
 
+def _cut(batch: pa.RecordBatch, at: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """The parts of ``batch`` by ``_sliced`` values of column ``at``, which come with each part."""
+    start = 0
+    for part in _sliced(batch.column(at)):
+        if part:
+            yield batch.slice(start, len(part)), part
+        start += len(part)
+
+
+def _texts(model: BpeModel, packed: list[bytes | None]) -> list[str]:
+    token = model.tokens.__getitem__
+    return [" ".join(map(token, np.frombuffer(x or b"", "<u4").tolist())) for x in packed]
+
+
 def encode(df: DataFrame, model: BpeModel, text: str = "text", ids: str = "ids",
            keep_text: bool = True) -> DataFrame:
     """``df`` with the token ids of its text, packed as little-endian 32-bit integers."""
@@ -259,10 +273,10 @@ def encode(df: DataFrame, model: BpeModel, text: str = "text", ids: str = "ids",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(shared.value)
         for batch in batches:
-            found = [x for part in _sliced(batch.column(at)) for x in encoder.encode(part)]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in kept], pa.array(found, pa.binary())],
-                names=schema.names)
+            for part, values in _cut(batch, at):
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(i) for i in kept],
+                     pa.array(encoder.encode(values), pa.binary())], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
@@ -274,12 +288,34 @@ def decode(df: DataFrame, model: BpeModel, ids: str = "ids", text: str = "decode
     kept, schema = _with_column(df, text, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.tokens.__getitem__
         for batch in batches:
-            found = [" ".join(map(token, np.frombuffer(x.as_py() or b"", "<u4").tolist()))
-                     for x in batch.column(at)]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in kept], pa.array(found, pa.string())],
-                names=schema.names)
+            for part, values in _cut(batch, at):
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(i) for i in kept],
+                     pa.array(_texts(shared.value, values), pa.string())], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def round_trip(df: DataFrame, model: BpeModel, text: str = "text", ids: str = "ids",
+               decoded: str = "decoded") -> DataFrame:
+    """``decode(encode(df))`` without the text, in one pass through one Python worker a task.
+
+    Two passes run at once, each in a worker that holds the model and batches of its own.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index(text)
+    kept = [i for i, c in enumerate(df.columns) if c not in (text, ids, decoded)]
+    schema = T.StructType([*[df.schema[i] for i in kept], T.StructField(ids, T.BinaryType()),
+                           T.StructField(decoded, T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _Encoder(shared.value)
+        for batch in batches:
+            for part, values in _cut(batch, at):
+                packed = encoder.encode(values)
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(i) for i in kept], pa.array(packed, pa.binary()),
+                     pa.array(_texts(shared.value, packed), pa.string())], names=schema.names)
 
     return df.mapInArrow(run, schema)

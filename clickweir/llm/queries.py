@@ -34,8 +34,7 @@ def op2_minhash_circulant(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = bpe.load_model(TOKENIZER)
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
-    decoded = bpe.decode(bpe.encode(documents, model, keep_text=False), model)
-    return decoded.select(
+    return bpe.round_trip(documents, model).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

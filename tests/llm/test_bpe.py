@@ -3,6 +3,7 @@ import random
 import struct
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from conftest import SF_DIR
@@ -80,3 +81,22 @@ def test_texts_are_encoded_a_million_characters_at_a_time():
     parts = list(bpe._sliced(pa.array(["x" * 1000] * 3000)))
     assert max(sum(map(len, part)) for part in parts) <= 1_001_000
     assert sum(map(len, parts)) == 3000
+
+
+def test_the_round_trip_is_one_pass_in_small_batches(spark, model, monkeypatch):
+    rows = [(i, f"Word{i} and more" if i % 7 else None, "a", 1) for i in range(200)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    once = bpe.round_trip(frame, model)
+    assert once._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    twice = bpe.decode(bpe.encode(frame, model, keep_text=False), model)
+    assert once.columns == twice.columns == ["doc_id", "ids", "decoded"]
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+
+
+def test_a_batch_leaves_in_parts(monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE_CHARS", 100)
+    batch = pa.RecordBatch.from_pydict({"n": list(range(50)), "text": ["x" * 30] * 48 + [None, ""]})
+    parts = list(bpe._cut(batch, 1))
+    assert [n for part, _ in parts for n in part.column(0).to_pylist()] == list(range(50))
+    assert all(part.column(1).to_pylist() == values for part, values in parts)
+    assert max(part.num_rows for part, _ in parts) <= 5
