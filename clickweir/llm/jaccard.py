@@ -9,6 +9,10 @@ n-grams; cut into D + 1 fragments they agree in one of them. So each set has a b
 fragment, its class and the class above, and similar sets share one. Equal sets are one
 class from the start.
 
+*Sketches.* Each n-gram flips one of ``SKETCH_BITS`` bits, so two sets differ in at least as many
+n-grams as their sketches in bits. Candidates whose sketches differ in more bits than similar sets
+of their sizes may in n-grams never become a pair. That is exact: no link is lost.
+
 *Verification.* Wide sets never meet: each candidate pair goes once to each of
 ``FRAGMENTS`` fixed fragments, the partial overlaps are counted there, and their sum
 decides.
@@ -49,6 +53,8 @@ GRAM = 3
 SIMILARITY = 90
 # Fragments in which overlaps are counted.
 FRAGMENTS = 4
+# Bits of a set's sketch, in words of 64; with several times as many n-grams it excludes little.
+SKETCH_BITS = 512
 # Members of larger buckets meet by rare n-grams.
 CROWD = 32
 # Counters for how often n-grams occur in crowded sets, and how many are a row on their way.
@@ -92,6 +98,13 @@ def buckets(own: np.ndarray, starts: np.ndarray, similarity: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """For each bit of the sketch whether an odd number of n-grams fall on it, in 64-bit words."""
+    at = (mixed(own) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    odd = (np.bincount(at, minlength=SKETCH_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.uint64)
+
+
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
     values = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
@@ -100,7 +113,7 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def described(docs: DataFrame, id_: str, text: str, gram: int, similarity: int) -> DataFrame:
-    """(id, n, digest of the set, buckets) of each row."""
+    """(id, n, digest of the set, its sketch, buckets) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = length_classes(1, similarity)
@@ -115,12 +128,13 @@ def described(docs: DataFrame, id_: str, text: str, gram: int, similarity: int)
                     batch.column(0), pa.array(n, pa.int64()),
                     pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in own],
                              pa.binary()),
+                    _lists([sketch(x) for x in own]),
                     _lists([buckets(x, starts, similarity) if len(x) else x for x in own]),
-                ], names=["id", "n", "digest", "buckets"])
+                ], names=["id", "n", "digest", "sketch", "buckets"])
 
     kind = docs.schema[id_].dataType.simpleString()
     return docs.select(id_, text).mapInArrow(
-        run, f"id {kind}, n long, digest binary, buckets array<long>")
+        run, f"id {kind}, n long, digest binary, sketch array<long>, buckets array<long>")
 
 
 def fragments(docs: DataFrame, text: str, gram: int) -> DataFrame:
@@ -307,8 +321,9 @@ class _Join:
 
     def linked(self) -> DataFrame | None:
         """(u, label) of the nodes that have links; None without any."""
-        waiting = self.scratch.keep(
-            self.members().withColumn("label", F.col("node")), "waiting")
+        sketches = self.rows.select(F.col("row").alias("node"), "sketch")
+        waiting = self.scratch.keep(self.members().withColumn("label", F.col("node")).join(
+            sketches, "node"), "waiting")
         links, labels, tested, centers = None, None, None, 0
         while not waiting.isEmpty():
             chosen = self._centers(waiting, max(centers, 1))
@@ -336,16 +351,22 @@ class _Join:
         return self.scratch.keep(
             _least(_least(dealt, ["bucket", "deal"], centers), ["bucket"], centers).select(
                 "bucket", F.col("node").alias("a"), F.col("label").alias("label_a"),
-                F.col("n").alias("n_a"), "deals"), "centers")
+                F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"), "deals"), "centers")
 
     def _pairs(self, waiting: DataFrame, chosen: DataFrame) -> DataFrame:
-        """(a, b, sizes): centers with later members of other components, if of fitting size."""
+        """(a, b, sizes): centers with later members of other components, if of fitting size
+        and sketch."""
         everywhere = chosen.withColumn("deal", F.explode(F.sequence(
             F.lit(0).cast("long"), F.col("deals").cast("long") - 1))).drop("deals")
         small, large = F.least("n", "n_a"), F.greatest("n", "n_a")
+        apart = sum(F.bit_count(F.get("sketch", F.lit(k)).bitwiseXOR(F.get("sketch_a", F.lit(k))))
+                    for k in range(SKETCH_BITS // 64))
         return waiting.withColumn("deal", _deal()).join(everywhere, ["bucket", "deal"]).where(
             (F.col("a") < F.col("node")) & (F.col("label_a") != F.col("label"))
-            & (100 * small >= self.similarity * large)).select(
+            & (100 * small >= self.similarity * large)
+            # Similar sets differ in at most this share of their sizes' sum.
+            & ((100 + self.similarity) * apart <= (100 - self.similarity) * (
+                F.col("n") + F.col("n_a")))).select(
             "a", F.col("node").alias("b"), (F.col("n") + F.col("n_a")).alias("sizes")).distinct()
 
     def _still_open(self, waiting: DataFrame, chosen: DataFrame,

@@ -145,3 +145,32 @@ def test_similar_sets_share_a_bucket():
             if 100 * common >= 90 * (len(own) + len(other) - common):
                 assert set(jaccard.buckets(own, starts, 90)) & set(
                     jaccard.buckets(other, starts, 90))
+
+
+def test_sets_differ_in_at_least_as_many_grams_as_sketches_in_bits():
+    rng = np.random.default_rng(2)
+    for n in (1, 3, 40, 700, 5000):
+        own = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+        for lost in (0, 1, n // 10, n):
+            other = np.unique(np.concatenate([
+                rng.permutation(own)[lost:], rng.integers(0, 2 ** 63, lost).astype(np.uint64)]))
+            bits = np.unpackbits((jaccard.sketch(own) ^ jaccard.sketch(other)).view(np.uint8)).sum()
+            assert bits <= len(np.setxor1d(own, other))
+
+
+def test_near_copies_below_the_threshold_make_few_pairs(spark, monkeypatch):
+    """They share fragments and rare n-grams, yet their number of pairs is not tested."""
+    tested, confirmed = [], jaccard._Join.confirmed
+
+    def counted(self, pairs):
+        tested.append(pairs.count())
+        return confirmed(self, pairs)
+
+    monkeypatch.setattr(jaccard._Join, "confirmed", counted)
+    rng = random.Random(11)
+    base = [f"b{k}" for k in range(100)]
+    texts = {k: " ".join(edited(rng, base, 4, 10 ** 9)) for k in range(70)}
+    texts |= {100: " ".join(base), 101: " ".join([*base, "end"])}
+    found = check(spark, texts)
+    assert found[101][1] == 100 and len({c for _, c in found.values()}) > 60
+    assert sum(tested) < 4 * len(texts)
